@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import language, mail
+from threadloom.llm import language, mail, pii
 from threadloom.session import read_table
 
 
@@ -47,5 +47,29 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"p1_found": p1_found, "p4_found": p4_found}
+def _name_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = [
+        ("agents", F.col("agent_name")), ("contacts", F.col("metadata.raw_speaker_name")), ("crm_profiles", F.col("metadata.customer_name")),
+        ("conversation", F.col("metadata.customer_name")), ("messages", F.col("metadata")["raw_speaker_name"]),
+    ]
+    frames = [read_table(spark, sf_dir, t).select(c.alias("name")) for t, c in fields]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = read_table(spark, sf_dir, "messages").where(F.col("text").isNotNull())
+    rows = messages.select("message_id", "text", F.col("metadata")["raw_speaker_name"].alias("speaker_name"))
+    found = pii.find_pii(rows, pii.learn_names(_name_fields(spark, sf_dir)))
+    return (
+        found.select("message_id", F.explode("spans").alias("s"))
+        .select("message_id", "s.kind", "s.pii_text")
+        .where(F.col("kind").isin("email", "phone", "id_number", "address", "name"))
+        .distinct()
+    )
+
+
+QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p7_found": p7_found}
 SQL: dict[str, str] = {}
