@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import language, mail, pii
+from threadloom.llm import conversations, language, mail, pii
 from threadloom.session import read_table
 
 
@@ -47,6 +47,11 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = [read_table(spark, sf_dir, t) for t in ("messages", "conversation", "accounts", "agents")]
+    return conversations.rebuild(*tables).select("conversation_id", "turn_no", "message_id", "role")
+
+
 def _name_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = [
         ("agents", F.col("agent_name")), ("contacts", F.col("metadata.raw_speaker_name")), ("crm_profiles", F.col("metadata.customer_name")),
@@ -71,5 +76,5 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p7_found": p7_found}
+QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p5_found": p5_found, "p7_found": p7_found}
 SQL: dict[str, str] = {}
