@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import conversations, language, mail, pii
-from threadloom.session import read_table
+from threadloom.llm import conversations, encoding, language, mail, packing, pii
+from threadloom.session import cut_lineage, read_table
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,5 +76,19 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p5_found": p5_found, "p7_found": p7_found}
-SQL: dict[str, str] = {}
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoding.encode(read_table(spark, sf_dir, "documents"))
+
+
+def p8_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The round trip: every text again (null as the empty text)."""
+    return encoding.decode(encoding.encode(read_table(spark, sf_dir, "documents")))
+
+
+def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sizes = encoding.encode(read_table(spark, sf_dir, "documents")).select("doc_id", F.size("ids").alias("n_tokens"))
+    return packing.fill_containers(cut_lineage(sizes), read_table(spark, sf_dir, "container_sizes"))
+
+
+QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p5_found": p5_found, "p7_found": p7_found, "p8_ids": p8_ids, "p8_decoded": p8_decoded, "p9_containers": p9_containers}
+SQL: dict[str, str] = {"p8_decoded": "select doc_id, coalesce(text, '') as text from documents"}
