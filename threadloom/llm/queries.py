@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import conversations, encoding, language, mail, packing, pii
+from threadloom.llm import conversations, encoding, entities, language, mail, packing, pii, subjects
 from threadloom.session import cut_lineage, read_table
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    profiles = entities.prepare(read_table(spark, sf_dir, "crm_profiles"), 0, "profile_id", F.col("metadata.customer_name"))
+    contacts = entities.prepare(read_table(spark, sf_dir, "contacts"), 1, "contact_id", F.col("metadata.raw_speaker_name"))
+    return entities.match(profiles, contacts).select(F.col("a").alias("profile_id"), F.col("b").alias("contact_id"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mail.newly_written(read_table(spark, sf_dir, "messages"))
     return found.select("message_id", F.explode("line_nos").alias("line_no"))
@@ -90,5 +96,11 @@ def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.fill_containers(cut_lineage(sizes), read_table(spark, sf_dir, "container_sizes"))
 
 
-QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p5_found": p5_found, "p7_found": p7_found, "p8_ids": p8_ids, "p8_decoded": p8_decoded, "p9_containers": p9_containers}
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    areas = [r[0] for r in read_table(spark, sf_dir, "subject_areas").select("subject").distinct().orderBy("subject").collect()]
+    found = subjects.propagate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "subject_labels"), areas)
+    return found.select("doc_id", "subject")
+
+
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p7_found": p7_found, "p8_ids": p8_ids, "p8_decoded": p8_decoded, "p9_containers": p9_containers, "p10_found": p10_found}
 SQL: dict[str, str] = {"p8_decoded": "select doc_id, coalesce(text, '') as text from documents"}
