@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,7 +21,9 @@ def get_spark(app: str = "threadloom", master: str | None = None, **conf: str) -
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
     }
-    return b.config(map={**base, **conf}).getOrCreate()
+    spark = b.config(map={**base, **conf}).getOrCreate()
+    ship_package(spark)
+    return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -46,5 +49,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that it need not be installed there."""
+    sc = spark.sparkContext
+    if getattr(sc, "_threadloom_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    place = os.path.join(tempfile.mkdtemp(prefix="threadloom-"), "threadloom.zip")
+    with zipfile.ZipFile(place, "w") as z:
+        for folder, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.join("threadloom", os.path.relpath(full, root)))
+    sc.addPyFile(place)
+    sc._threadloom_shipped = True
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
