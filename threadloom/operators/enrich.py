@@ -1,0 +1,67 @@
+"""External models behind one interface, called in batches from ``mapInPandas``; offline rules are the default."""
+
+from __future__ import annotations
+
+import time
+from collections.abc import Callable, Iterator
+from typing import Protocol
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+class Enricher(Protocol):
+    """``rewrite`` maps texts by message id; ids left out stay as they are."""
+
+    def rewrite(self, batch: dict[str, str]) -> dict[str, str]: ...
+
+
+class Offline:
+    """No model at hand: changes nothing."""
+
+    def rewrite(self, batch: dict[str, str]) -> dict[str, str]:
+        return {}
+
+
+class Paced:
+    """Spaces the calls of a worker and repeats failing ones; a batch that keeps failing is skipped."""
+
+    def __init__(self, inner: Enricher, pause_s: float = 2.2, attempts: int = 5) -> None:
+        self.inner, self.pause_s, self.attempts = inner, pause_s, attempts
+
+    def rewrite(self, batch: dict[str, str]) -> dict[str, str]:
+        for k in range(self.attempts):
+            time.sleep(self.pause_s * (k + 1))
+            try:
+                return self.inner.rewrite(batch)
+            except Exception:  # noqa: BLE001
+                continue
+        return {}
+
+
+def rewrite(messages: DataFrame, make: Callable[[], Enricher], batch: int = 10) -> DataFrame:
+    """``message_id, text``: new texts of ``messages`` from an enricher made in each worker, ``batch`` at a time."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        enricher = make()
+        for frame in frames:
+            for a in range(0, len(frame), batch):
+                part = frame.iloc[a : a + batch]
+                new = enricher.rewrite(dict(zip(part["message_id"], part["text"])))
+                yield pd.DataFrame({"message_id": part["message_id"], "text": [new.get(i) or t for i, t in zip(part["message_id"], part["text"])]})
+
+    return messages.select("message_id", F.coalesce("text", F.lit("")).alias("text")).mapInPandas(run, "message_id string, text string")
+
+
+def packed(sizes: list[tuple[str, int]], most: int = 6) -> list[list[str]]:
+    """Conversations in order, joined to batches of at most ``most`` messages; a longer one goes alone."""
+    out: list[list[str]] = []
+    room = 0
+    for name, n in sizes:
+        if n > room or not out:
+            out.append([])
+            room = most
+        out[-1].append(name)
+        room -= n
+    return out

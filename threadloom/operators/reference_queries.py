@@ -146,7 +146,7 @@ _BLANK = "trim(coalesce(text, ''), e' \\t\\n\\r') = ''"
 
 @query(f"""with {BASE}, {_STREAK}, o as (select *, max(ts) over (partition by conversation_id order by ordinal, message_id rows between unbounded preceding and 1 preceding) as mx,
   lag(ts) over (partition by conversation_id order by ordinal, message_id) as p from m)
-select (select count(distinct conversation_id) from m) as conversations, (select sum((ts < p)::int + (speaker is null or speaker not in ('user', 'assistant'))::int + ({_BLANK})::int) from o)::bigint as errors,
+select (select count(distinct conversation_id) from m) as conversations, (select sum(coalesce((ts < p)::int, 0) + (speaker is null or speaker not in ('user', 'assistant'))::int + ({_BLANK})::int) from o)::bigint as errors,
   (select count(*) from k where streak > 3) as warnings, 'FAIL' as status""")
 def validation_report(spark: SparkSession, d: str) -> DataFrame:
     return H.validation_report(_base(spark, d))

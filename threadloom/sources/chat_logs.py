@@ -15,7 +15,7 @@ BRACKET_HEADER = rf"^\[{DATE},\s+{CLOCK}\]\s+([^:]+):\s*(.*)$"
 
 def read_logs(spark: SparkSession, path: str) -> DataFrame:
     """``file, content`` of every ``*.txt`` under ``path``."""
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.txt").text(path)
+    files = spark.read.option("pathGlobFilter", "*.txt").text(path, wholetext=True)
     return files.select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("content"))
 
 
