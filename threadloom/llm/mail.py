@@ -112,6 +112,10 @@ def _ending_like(line: str) -> bool:
 def signature_start(lines: list[str], kinds: list[str], a: int, b: int, footers: frozenset[str], own: frozenset[str]) -> int:
     """Where the ending of the plain segment begins (``b``: it has none)."""
     end = b
+    for i in range(b - 1, a, -1):  # a postscript follows the ending
+        if _POSTSCRIPT.match(lines[i]) and not lines[i - 1].strip():
+            end = i
+            break
     # Footers and separators from the bottom up.
     while end > a:
         x = lines[end - 1]
@@ -309,9 +313,9 @@ def learn_footers(mails: DataFrame, share: float = 0.0005, least: int = 5, in_la
                     k = out.setdefault((line, sender or ""), [0, 0])
                     k[0] += 1
                     k[1] += last
-            yield pd.DataFrame(
-                {"line": [k[0] for k in out], "sender": [k[1] for k in out], "n": [v[0] for v in out.values()], "n_last": [v[1] for v in out.values()]}
-            )
+            if out:
+                rows = [(line, sender, n, last) for (line, sender), (n, last) in out.items()]
+                yield pd.DataFrame(rows, columns=["line", "sender", "n", "n_last"])
 
     counted = mails.select("sender", "text").mapInPandas(stats, "line string, sender string, n long, n_last long")
     counted = counted.groupBy("line", F.pmod(F.xxhash64("sender"), F.lit(64)).alias("part")).agg(
