@@ -13,10 +13,13 @@ from __future__ import annotations
 
 import base64
 import os
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,27 +50,36 @@ def encoder(path: str):  # noqa: ANN201
 def pre_tokens(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``key, word, positions``: a row for each distinct pre-token of each text."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
         find = regex.compile(PATTERN).findall
         for batch in batches:
-            keys, words, positions = [], [], []
-            for key, text in zip(batch["key"], batch["text"]):
+            keys = batch.column(0)
+            owners, words, flat, ends = [], [], array("i"), array("i", [0])
+
+            def block() -> pa.RecordBatch:
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+                return pa.RecordBatch.from_arrays([keys.take(pa.array(owners)), pa.array(words, pa.string()), lists], ["key", "word", "positions"])
+
+            for row, text in enumerate(batch.column(1)):
                 at: dict[str, list[int]] = {}
-                for i, w in enumerate(find(text)):
+                for i, w in enumerate(find(text.as_py())):
                     at.setdefault(w, []).append(i)
-                keys += [key] * len(at)
-                words += at.keys()
-                positions += at.values()
-                if len(keys) > 200_000:
-                    yield pd.DataFrame({"key": keys, "word": words, "positions": positions})
-                    keys, words, positions = [], [], []
-            yield pd.DataFrame({"key": keys, "word": words, "positions": positions})
+                owners += [row] * len(at)
+                words += at
+                for p in at.values():
+                    flat.extend(p)
+                    ends.append(len(flat))
+                if len(words) > 50_000:
+                    yield block()
+                    owners, words, flat, ends = [], [], array("i"), array("i", [0])
+            if words:
+                yield block()
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.where(F.col(text_col).isNotNull() & (F.col(text_col) != "")).select(F.col(id_col).alias("key"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(run, f"key {kind}, word string, positions array<int>")
+    return rows.mapInArrow(run, f"key {kind}, word string, positions array<int>")
 
 
 def encode_words(words: DataFrame, path: str) -> DataFrame:
@@ -80,6 +92,28 @@ def encode_words(words: DataFrame, path: str) -> DataFrame:
     return words.mapInPandas(run, "word string, n long, ids array<int>")
 
 
+def in_order(parts: pa.ListArray) -> pa.ListArray:
+    """Per text the ids of its pre-tokens by position, from lists of (positions, ids); no Python object per token."""
+    starts = np.asarray(parts.offsets)
+    inner = parts.values.slice(starts[0], starts[-1] - starts[0]) if len(parts) else parts.values
+    positions, ids = inner.field("positions"), inner.field("ids")
+    pos_ends, id_ends = np.asarray(positions.offsets).astype(np.int64), np.asarray(ids.offsets).astype(np.int64)
+    pos, tokens = np.asarray(positions.values)[pos_ends[0] : pos_ends[-1]], np.asarray(ids.values)[id_ends[0] : id_ends[-1]]
+    n_pos, n_ids = np.diff(pos_ends), np.diff(id_ends)
+    part_of_pos = np.repeat(np.arange(len(n_pos)), n_pos)
+    per_text = np.add.reduceat(np.append(n_pos, 0), starts[:-1] - starts[0]) if len(parts) else np.zeros(0, np.int64)
+    per_text = np.where(np.diff(starts) > 0, per_text, 0)
+    first = np.concatenate([[0], np.cumsum(per_text)])
+    text_of_part = np.repeat(np.arange(len(parts)), np.diff(starts))
+    slot = np.empty(len(pos), np.int64)
+    slot[first[text_of_part[part_of_pos]] + pos] = part_of_pos
+    length = n_ids[slot]
+    begin = (id_ends[:-1] - id_ends[0])[slot]
+    ends = np.concatenate([[0], np.cumsum(length)])
+    out = tokens[np.repeat(begin - ends[:-1], length) + np.arange(ends[-1])]
+    return pa.ListArray.from_arrays(pa.array(ends[first].astype(np.int32)), pa.array(out.astype(np.int32)))
+
+
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, hot_parts: int = 1000) -> DataFrame:
     """``<id>, ids ARRAY<INT>``: one row per id of ``docs``.
 
@@ -98,19 +132,13 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     others = marked.where("hot_ids is null").join(rare, "word").select("key", "positions", F.col("rare_ids").alias("ids"))
     placed = common.unionByName(others).groupBy("key").agg(F.collect_list(F.struct("positions", "ids")).alias("parts"))
 
-    def order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for parts in batch["parts"]:
-                slots = [None] * sum(len(p["positions"]) for p in parts)
-                for p in parts:
-                    for i in p["positions"]:
-                        slots[i] = p["ids"]
-                out.append([t for s in slots for t in s])
-            yield pd.DataFrame({"key": batch["key"], "ids": out})
+            parts = batch.column(1)
+            yield pa.RecordBatch.from_arrays([batch.column(0), in_order(parts)], ["key", "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    ordered = placed.mapInPandas(order, f"key {kind}, ids array<int>")
+    ordered = placed.mapInArrow(order, f"key {kind}, ids array<int>")
     everyone = docs.select(F.col(id_col).alias("key")).distinct()
     return everyone.join(ordered, everyone["key"].eqNullSafe(ordered["key"]), "left").select(
         everyone["key"].alias(id_col), F.coalesce("ids", F.array().cast("array<int>")).alias("ids")
