@@ -174,12 +174,21 @@ def email_spans(text: str) -> list[Span]:
     return out
 
 
+# Cheap tests that spare most texts the patterns: eight digits with little between them; an IBAN's beginning.
+_LONG_NUMBER = re.compile(r"(?:\d[ ()./-]{0,2}){6}[A-Z]?\d|\d{4}[A-Z]\d\d|[A-Z]{6}\d\d[A-Z]|[A-Z]{5}\d{4}")
+_IBAN_HEAD = re.compile(r"(?<!\w)[A-Z]{2}\d\d[ A-Z\d]{11}")
+_STREET_WORD = re.compile(
+    r"(?i)\b(?:street|st|ave|avenue|road|rd|lane|ln|close|drive|boulevard|blvd|marg|nagar|gali|rue|impasse|calle|c/|avenida|plaza|rua|travessa|via|piazza|am|im)\b|stra(?:ß|ss)e|str\.|weg\b|gasse|platz"
+)
+
+
 def number_spans(text: str) -> Iterator[Span]:
-    for m in IBAN.finditer(text):
+    if not _LONG_NUMBER.search(text):
+        return
+    for m in IBAN.finditer(text) if _IBAN_HEAD.search(text) else ():
         x = m.group().replace(" ", "")
         if 15 <= len(x) <= 34 and mod97(x):
             yield m.start(), m.end(), "iban", 0.99
-    low = None
     for m in ID_SHAPES.finditer(text):
         before, after = sentence_around(text, m.start(), m.end())
         near = (before + " " + after).lower()
@@ -224,7 +233,7 @@ def address_spans(text: str) -> Iterator[Span]:
     if not seen:
         for line in re.finditer(r"[^\n.!?]{12,}", text):
             part = line.group()
-            if part.isupper() or part.islower():
+            if (part.isupper() or part.islower()) and _DIGIT.search(part) and _STREET_WORD.search(part):
                 for m in _ADDRESS_ANY_CASE.finditer(part):
                     if m.group().lower().endswith((" by the way", "way", "row", "hill", "path", "place")):
                         continue
