@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 LANGS = ("en", "de", "fr", "es", "it", "pt", "hi", "ta")
+#: A run of more letters is no word and says nothing about the language.
+LONGEST_WORD = 60
 DEFAULT_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 _WORD = re.compile(r"[^\W\d_][\w\u0300-\u036f\u0900-\u0dff'’-]*")
 _NOT_LANGUAGE = re.compile(r"\S*@\S+|\b(?:https?://|www\.)\S+|\S*\d\S*")
@@ -117,8 +119,10 @@ class PieceModel:
                 k = len(known)
                 if k >= len(self.rows):
                     self.rows = np.vstack([self.rows, np.zeros_like(self.rows)])
-                lp = np.log(np.maximum(self.forward(b" " + w[:60].encode()), 1e-290))
-                self.rows[k] = np.maximum(lp - lp.max(), -spread)
+                self.rows[k] = 0.0
+                if len(w) <= LONGEST_WORD:
+                    lp = np.log(np.maximum(self.forward(b" " + w.encode()), 1e-290))
+                    self.rows[k] = np.maximum(lp - lp.max(), -spread)
                 known[w] = k
             ids[i] = k
         return self.rows[ids]
@@ -244,16 +248,18 @@ def label_codes(annotations: DataFrame) -> DataFrame:
 def fit_model(labelled: DataFrame, vocabulary: str | None = None, rows_per_language: int = 1500, max_chars: int = 2000) -> PieceModel:
     """Fit on a bounded sample: of each language the ``rows_per_language`` labelled texts with the smallest hash.
 
+    Texts of more than ``max_chars`` are not sampled, so the sample is bounded in bytes, too.
+
     ``labelled``: ``message_id, text, lang`` with one (possibly wrong) language.  The second fit takes the words
     as the first one segments them, so wrong and incomplete labels wash out.  Languages without any sample keep
     the floor probability.
     """
     w = Window.partitionBy("lang").orderBy(F.xxhash64("message_id"), "message_id")
     sample = (
-        labelled.where(F.col("lang").isin(*LANGS) & F.col("text").isNotNull())
+        labelled.where(F.col("lang").isin(*LANGS) & (F.length("text") <= max_chars))
         .withColumn("k", F.row_number().over(w))
         .where(F.col("k") <= rows_per_language)
-        .select("lang", F.substring("text", 1, max_chars).alias("text"))
+        .select("lang", "text")
         .collect()
     )
     return fit_on(sample, load_pieces(vocabulary or vocabulary_path()))
@@ -265,7 +271,8 @@ def fit_on(sample: list[tuple[str, str]], pieces: frozenset[bytes]) -> PieceMode
     counts: dict[str, np.ndarray] = {}
     for lang, text in sample:
         for w, n in Counter(words_of(text)[0]).items():
-            counts.setdefault(w[:60], np.zeros(len(LANGS)))[index[lang]] += n
+            if len(w) <= LONGEST_WORD:
+                counts.setdefault(w, np.zeros(len(LANGS)))[index[lang]] += n
     model.fit(counts, rounds=3)
     again: dict[str, np.ndarray] = {}
     for (_, text), runs in zip(sample, segment_batch(model, [t for _, t in sample])):
@@ -273,7 +280,8 @@ def fit_on(sample: list[tuple[str, str]], pieces: frozenset[bytes]) -> PieceMode
         for lang, confidence, _, n in runs:
             if confidence > 0.9:
                 for w in words[at : at + n]:
-                    again.setdefault(w[:60], np.zeros(len(LANGS)))[lang] += 1
+                    if len(w) <= LONGEST_WORD:
+                        again.setdefault(w, np.zeros(len(LANGS)))[lang] += 1
             at += n
     model.fit(again, rounds=3)
     return model
