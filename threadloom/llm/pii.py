@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from threadloom.session import cut_lineage
+
 KINDS = ("email", "phone", "id_number", "iban", "card", "address", "name")
 PLACEHOLDER = {k: f"[{k.upper()}]" for k in KINDS}
 
@@ -226,20 +228,21 @@ def number_spans(text: str) -> Iterator[Span]:
 
 
 def address_spans(text: str) -> Iterator[Span]:
-    seen = False
     for m in ADDRESS.finditer(text):
-        seen = True
         yield m.start(), m.end(), "address", 0.85
-    if not seen:
-        for line in re.finditer(r"[^\n.!?]{12,}", text):
-            part = line.group()
-            if (part.isupper() or part.islower()) and _DIGIT.search(part) and _STREET_WORD.search(part):
-                for m in _ADDRESS_ANY_CASE.finditer(part):
-                    if m.group().lower().endswith((" by the way", "way", "row", "hill", "path", "place")):
-                        continue
+    if not _STREET_WORD.search(text):
+        return
+    for line in _SENTENCE.finditer(text):  # sentences typed without capitals, or in nothing else
+        part = line.group()
+        if (part.isupper() or part.islower()) and _DIGIT.search(part) and _STREET_WORD.search(part):
+            for m in _ADDRESS_ANY_CASE.finditer(part):
+                if not m.group().lower().endswith((" by the way", "way", "row", "hill", "path", "place")):
                     yield line.start() + m.start(), line.start() + m.end(), "address", 0.7
 
 
+_SENTENCE = re.compile(r"(?:[^\n.!?]|\.(?=\s?\d)|\.(?!\s)){12,}")
+
+
 def name_spans(text: str, table: NameTable, own: frozenset[str], busy: list[tuple[int, int]]) -> Iterator[Span]:
     first, last, common, parts = table.first, table.last, table.common, table.parts
     shouting = text.isupper()
@@ -267,12 +270,14 @@ def name_spans(text: str, table: NameTable, own: frozenset[str], busy: list[tupl
             if sep in _BETWEEN and not (at < len(busy) and busy[at][0] < b2):
                 low2 = word2.lower()
                 capital2 = word2[0] != low2[0]
-                if _pair(word, low, capital, is_first, is_own, dotted, sep, word2, low2, capital2, first, last, own, common, shouting) and not _product(text, a, b2):
+                awaited = not capital and is_first and BEFORE_NAME.search(text[max(0, a - 40) : a].lower()) is not None
+                usual = frozenset() if awaited else common
+                if _pair(word, low, capital, is_first, is_own, dotted, sep, word2, low2, capital2, first, last, own, usual, shouting) and not _product(text, a, b2):
                     used = i + 1
                     yield a, b2, "name", 0.9
                     continue
         known = is_first or is_last or is_own
-        if len(word) < 2 or not (known or capital):
+        if len(word) < 2 or not (known or capital) or (not capital and low in common):
             continue
         before = text[max(0, a - 40) : a].lower()
         slot = BEFORE_NAME.search(before)
@@ -389,14 +394,18 @@ def scrub(text: str, spans: list[Span]) -> str:
 # --- Spark ----------------------------------------------------------------------------------------
 
 
+def _split_all(names: pd.Series) -> pd.Series:
+    return names.map(split_name)
+
+
 def learn_names(name_fields: DataFrame, share: float = 2e-5, least: int = 3) -> NameTable:
     """Bounded name tables from a column ``name`` of structured names.
 
     Kept are the parts in at least ``least`` distinct full names and a ``share`` of them all, so each table has
     at most 1 / share parts, whatever the size of the corpus.
     """
-    parts = F.udf(split_name, "array<string>")
-    full = (
+    parts = F.pandas_udf(_split_all, "array<string>")
+    full = cut_lineage(
         name_fields.where(F.col("name").isNotNull())
         .groupBy("name").agg(F.count("*").alias("n"))
         .select(F.transform(parts("name"), F.lower).alias("p"))
