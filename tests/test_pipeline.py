@@ -79,3 +79,27 @@ def test_enrichers(spark):
     rows = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", None)], "message_id string, text string")
     assert {tuple(r) for r in rewrite(rows, Upper, 2).collect()} == {("a", "X"), ("b", "y"), ("c", "")}
     assert packed([("a", 4), ("b", 2), ("c", 9), ("d", 1)]) == [["a", "b"], ["c"], ["d"]]
+
+
+def test_service(spark, inputs, tmp_path):
+    from threadloom.plans.service import Service
+
+    s = Service(spark, mail_dir=str(inputs / "mail"), chat_dir=str(inputs / "chat"), work_dir=str(tmp_path), version="1", now="2026-01-01 00:00:00")
+    s.run()
+    assert s.status()["rows"]["messages"] == 5 and s.status()["versions"] == ["v1"] and not s.needs_annotation()
+    d = s.dataset_details()
+    assert d["conversations"] == 2 and d["sources"] == {"gmail": 2, "whatsapp": 3} and len(d["pending"]) == 2
+    ids = [p["conversation_id"] for p in d["pending"]]
+    s.approve(ids[:1])
+    assert s.gated().select("conversation_id").distinct().count() == 1 and len(s.dataset_details()["pending"]) == 1
+    s.exclude(ids[:1])
+    assert s.gated().count() == 0
+    s.approve(ids)
+    s.assign_roles(["Ann"])
+    assert {r[0] for r in s.table("anonymized").where("source = 'whatsapp'").select("speaker", "text").collect()} == {"assistant", "user"}
+    s.allow_language("en - English", "xx - Other")
+    assert "xx - Other" in s.dataset_details()["languages"]
+    s.export()
+    assert s.diff("1", "1")["conversations"]["v1"] == 0
+    s.clean_slate()
+    assert s.status()["rows"] == {}
