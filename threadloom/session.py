@@ -50,7 +50,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application, so that it need not be installed there."""
+    """Send this package to the Python workers, once per application, so that it need not be installed there.
+
+    The archive lies on the driver only; Spark serves it from there to every executor, new ones included.
+    """
     sc = spark.sparkContext
     if getattr(sc, "_threadloom_shipped", False):
         return
