@@ -75,6 +75,26 @@ def test_spark_blocks_give_what_one_block_gives(spark):
     assert all(len(a[1]) <= 2 for a in many if a[0].startswith("m"))
 
 
+def test_blocks_keep_order_and_find_pieced_runs(spark):
+    """Blocks of two mails equal one block: later holders lend nothing, and runs whose short grams stand elsewhere first are found."""
+    r = random.Random(7)
+    rows, bodies = [], []
+    for i in range(40):
+        w = [[f"v{r.randrange(10**6)}" for _ in range(14)] for _ in range(2)]
+        for k in range(2):  # pieces of ten words of earlier mails, in a run that is new as a whole
+            if bodies and r.random() < 0.5:
+                w[k][2:12] = r.choice(bodies)[k][2:12]
+        text = "\n".join(" ".join(x) for x in w)
+        if bodies and r.random() < 0.6:  # repeats an earlier mail whole, without marks
+            text += "\n" + "\n".join(" ".join(x) for x in r.choice(bodies))
+        bodies.append(w)
+        rows.append((f"m{r.randrange(10**6):06d}", "hot", "gmail", i if i % 9 else None, text, {"raw_speaker_name": f"P{i % 5}"}))
+    df = spark.createDataFrame(rows, SCHEMA)
+    show = lambda x: {(a["message_id"], tuple(a["line_nos"])) for a in x.collect()}
+    one = show(M.newly_written(df))
+    assert one == show(M.newly_written(df, block=2)) == show(M.newly_written(df, block=5)) and sum(a[1] == (1, 2) for a in one) > 20
+
+
 def test_nulls_repeats_and_empty(spark):
     rows = [("a", None, "gmail", None, "Hello there.", None), ("a", None, "gmail", None, "Hello there.", None), ("b", "c", "gmail", 1, None, None), (None, "c", "gmail", 1, "x", None), ("w", "c", "whatsapp", 1, "x", None)]
     df = spark.createDataFrame(rows, SCHEMA)

@@ -8,16 +8,19 @@ formula or separator with the name and contact lines under it, and footers learn
 recur over many senders and practically only in last paragraphs.
 
 Skew.  A thread of more than ``block`` mails is split into blocks by a hash of the message id; each block gets,
-beside its own mails, those mails of the thread that first hold one of its word k-grams.  A match of k words or
-more with any mail of the thread is thus found with one that holds it, and no task gets a whole hot thread.
+beside its own mails, those mails of the thread that first hold one of its runs of ``least`` words, and adds each at
+its place in the order of arrival.  So every match is found as in one block, and no task need get a whole hot thread.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -222,29 +225,43 @@ class SuffixAutomaton:
         return out
 
 
+def own_lines(text: str, sender: str | None, footers: frozenset[str]) -> tuple[list[str], list[int]]:
+    """The text's lines, and the numbers from 0 of those that are neither marked as quoted nor an ending."""
+    lines = text.replace("\r", "").split("\n")
+    kinds = zones(lines)
+    own = frozenset(_words(re.sub(r"<[^>]*>", " ", sender or "")))
+    keep: list[int] = []
+    for a, b in segments(kinds):
+        cut = signature_start(lines, kinds, a, b, footers, own)
+        rest = range(cut, b)
+        keep += [i for i in range(a, cut) if kinds[i] == PLAIN and not _RULE.match(lines[i])]
+        keep += [i for i in _postscript(lines, rest)]
+    return lines, keep
+
+
+def own_words(text: str, sender: str | None, footers: frozenset[str]) -> list[str]:
+    lines, keep = own_lines(text, sender, footers)
+    return [w for i in keep for w in _words(lines[i])]
+
+
 def new_lines(
-    mails: list[tuple[str, str, str | None]], sources: list[str], footers: frozenset[str], least: int
+    mails: list[tuple[str, str, str | None]], sources: list[tuple[int, list[str]]], footers: frozenset[str], least: int
 ) -> Iterator[tuple[str, list[int], list[str]]]:
     """For one block of a thread: (id, numbers from 1 of the new non-blank lines, those lines).
 
-    ``mails``: (id, text, sender's name) in order of arrival; ``sources``: plain texts of other blocks.
+    ``mails``: (id, text, sender's name) in order of arrival; ``sources``: words of mails of other blocks in order of
+    arrival, each with the number of the block's mails that came before it.
     """
     ids: dict[str, int] = {}
     number = lambda words: [ids.setdefault(w, len(ids)) for w in words]
     automaton = SuffixAutomaton()
-    for s in sources:
-        automaton.add(number(_words(s)))
     single = len(mails) == 1 and not sources
-    for mid, text, sender in mails:
-        lines = text.replace("\r", "").split("\n")
-        kinds = zones(lines)
-        own = frozenset(_words(re.sub(r"<[^>]*>", " ", sender or "")))
-        keep: list[int] = []
-        for a, b in segments(kinds):
-            cut = signature_start(lines, kinds, a, b, footers, own)
-            rest = range(cut, b)
-            keep += [i for i in range(a, cut) if kinds[i] == PLAIN and not _RULE.match(lines[i])]
-            keep += [i for i in _postscript(lines, rest)]
+    at = 0
+    for n, (mid, text, sender) in enumerate(mails):
+        while at < len(sources) and sources[at][0] <= n:
+            automaton.add(number(sources[at][1]))
+            at += 1
+        lines, keep = own_lines(text, sender, footers)
         if not single and keep:
             where: list[int] = []
             words: list[str] = []
@@ -277,11 +294,6 @@ def _postscript(lines: list[str], rest: range) -> Iterator[int]:
             yield i
 
 
-def plain_text(text: str) -> str:
-    lines = text.replace("\r", "").split("\n")
-    return "\n".join(x for x, k in zip(lines, zones(lines)) if k == PLAIN)
-
-
 # --- Spark -----------------------------------------------------------------------------------------
 
 
@@ -343,7 +355,7 @@ def distinct_mails(messages: DataFrame) -> DataFrame:
     )
 
 
-def newly_written(messages: DataFrame, least: int = 20, block: int = 400, gram: int = 8) -> DataFrame:
+def newly_written(messages: DataFrame, least: int = 20, block: int = 400) -> DataFrame:
     """The mails' own text: ``message_id, line_nos ARRAY<INT>, lines ARRAY<STRING>``, a row for each mail with text.
 
     Mails without text give no row, blank ones a row with empty lists; equal mails under several ids are each
@@ -363,13 +375,19 @@ def newly_written(messages: DataFrame, least: int = 20, block: int = 400, gram:
                 "block", F.coalesce(F.pmod(F.xxhash64("message_id"), F.ceil(F.col("n") / block)), F.lit(0)).cast("long")
             )
         )
-        sources = _hot_sources(blocked.where("n is not null").drop("n"), gram)
+        sources = _hot_sources(blocked.where("n is not null").drop("n"), footers, least)
         blocked = blocked.drop("n")
     out = "message_id string, line_nos array<int>, lines array<string>"
 
-    def judge(own: pd.DataFrame, plain: list[str]) -> pd.DataFrame:
+    def judge(own: pd.DataFrame, other: pd.DataFrame | None) -> pd.DataFrame:
         own = own.sort_values(["ordinal", "message_id"], na_position="last")
-        rows = list(new_lines(list(zip(own["message_id"], own["text"], own["sender"])), plain, footers.value, least))
+        sources: list[tuple[int, list[str]]] = []
+        if other is not None and len(other):
+            place = lambda d: [(pd.isna(o), 0 if pd.isna(o) else o, m) for o, m in zip(d["ordinal"], d["message_id"])]
+            mine = place(own)
+            other = other.sort_values(["ordinal", "message_id"], na_position="last")
+            sources = [(bisect_left(mine, p), list(ws)) for p, ws in zip(place(other), other["words"])]
+        rows = list(new_lines(list(zip(own["message_id"], own["text"], own["sender"])), sources, footers.value, least))
         return pd.DataFrame({"message_id": [r[0] for r in rows], "line_nos": [r[1] for r in rows], "lines": [r[2] for r in rows]})
 
     if sources is None:
@@ -383,42 +401,52 @@ def newly_written(messages: DataFrame, least: int = 20, block: int = 400, gram:
                 ready, rest = both[both["thread"] != last], both[both["thread"] == last]
                 held = [rest]
                 if len(ready):
-                    yield pd.concat([judge(g, []) for _, g in ready.groupby("thread", sort=False)], ignore_index=True)
+                    yield pd.concat([judge(g, None) for _, g in ready.groupby("thread", sort=False)], ignore_index=True)
             if held:
-                yield judge(held[0], [])
+                yield judge(held[0], None)
 
         return blocked.repartition("thread").sortWithinPartitions("thread").mapInPandas(many, out)
     return (
         blocked.groupBy("thread", "block")
         .cogroup(sources.groupBy("thread", "block"))
-        .applyInPandas(lambda own, other: judge(own, list(other["plain"])), out)
+        .applyInPandas(judge, out)
     )
 
 
-def _hot_sources(mails: DataFrame, gram: int) -> DataFrame:
-    """For each block of a hot thread the plain texts of the mails that first hold one of its k-grams."""
+def _hot_sources(mails: DataFrame, footers: Broadcast, least: int) -> DataFrame:
+    """For each block of a hot thread the words of the mails of other blocks that first hold one of its runs of ``least`` words.
+
+    A match of ``least`` words or more is covered by its runs of ``least`` words, and if an earlier mail holds such a
+    run, its first holder is earlier too; so these mails, each added at its place, find all that the whole thread would.
+    """
 
-    def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for t, b, o, m, text in batch[["thread", "block", "ordinal", "message_id", "text"]].itertuples(index=False):
-                ws = _words(plain_text(text))
-                for g in {" ".join(ws[i : i + gram]) for i in range(len(ws) - gram + 1)}:
-                    rows.append((t, b, g, o, m))
-            yield pd.DataFrame(rows, columns=["thread", "block", "g", "ordinal", "message_id"])
-
-    held = cut_lineage(
-        mails.mapInPandas(grams, "thread string, block long, g string, ordinal long, message_id string").select(
-            "thread", "block", F.xxhash64("g").alias("g"), "ordinal", "message_id"
-        )
-    )
-    holder = held.groupBy("thread", "g").agg(F.min(F.struct(F.coalesce("ordinal", F.lit(2**62)), "message_id", "block")).alias("h"))
+            for t, b, o, m, text, sender in zip(*[batch[c] for c in ("thread", "block", "ordinal", "message_id", "text", "sender")]):
+                ws = own_words(text, sender, footers.value)
+                for g in {" ".join(ws[i : i + least]) for i in range(len(ws) - least + 1)}:
+                    h = int.from_bytes(blake2b(g.encode(), digest_size=8).digest(), "little", signed=True)
+                    rows.append((t, b, h, None if pd.isna(o) else int(o), m))
+            out = pd.DataFrame(rows, columns=["thread", "block", "g", "ordinal", "message_id"])
+            yield out.astype({"ordinal": "Int64"})
+
+    def worded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            words = [own_words(x, s, footers.value) for x, s in zip(batch["text"], batch["sender"])]
+            yield pd.DataFrame({"thread": batch["thread"], "block": batch["block"], "ordinal": batch["ordinal"].astype("Int64"), "message_id": batch["message_id"], "words": words})
+
+    held = cut_lineage(mails.mapInPandas(runs, "thread string, block long, g long, ordinal long, message_id string"))
+    first = F.struct(F.col("ordinal").isNull().alias("last"), "ordinal", "message_id", "block")
+    holder = held.groupBy("thread", "g").agg(F.min(first).alias("h"))
     wanted = (
-        held.groupBy("thread", "g", "block").agg(F.lit(1).alias("one"))
+        held.select("thread", "g", "block").distinct()
         .join(holder, ["thread", "g"])
         .where(F.col("h.block") != F.col("block"))
         .select("thread", "block", F.col("h.message_id").alias("message_id"))
         .distinct()
     )
-    plain = F.pandas_udf(lambda s: s.map(plain_text), "string")
-    return wanted.join(mails.select("message_id", plain("text").alias("plain")), "message_id").select("thread", "block", "plain")
+    # The text is cut once for each mail that is a source, then dealt to the blocks that want it.
+    texts = mails.join(wanted.select("thread", "message_id").distinct(), ["thread", "message_id"], "left_semi").select("thread", "block", "ordinal", "message_id", "text", "sender")
+    words = texts.mapInPandas(worded, "thread string, block long, ordinal long, message_id string, words array<string>").drop("block")
+    return wanted.join(words, ["thread", "message_id"]).select("thread", "block", "ordinal", "message_id", "words")
