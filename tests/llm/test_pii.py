@@ -51,3 +51,15 @@ def test_spark(spark):
     names = spark.createDataFrame([(f"{f} {n}",) for f in ("Ann", "Bo", "Cy") for n in ("Kessman", "Dunhoff", "Hall")] + [(None,), ("+1 555",)], "name string")
     t = P.learn_names(names)
     assert {"ann", "bo", "cy"} <= t.first and {"kessman", "hall"} <= t.last
+
+
+def test_rare_names_are_found(spark):
+    """A name part borne once is found, whatever the size of the table of frequent parts and of the buckets."""
+    names = spark.createDataFrame([(f"{f} {n}",) for f in ("Ann", "Bo", "Cy") for n in ("Kessman", "Dunhoff", "Hall")] + [("Zofka Quirr",)], "name string")
+    table, rare = P.learn_all_names(names)
+    assert "quirr" not in table.last and {tuple(r) for r in rare.collect()} == {("zofka", True, False), ("quirr", False, True)}
+    rows = [("a", "The parcel was taken by Quirr yesterday.", None), ("b", "please speak to zofka quirr about it", None), ("c", "I met Ann Hall and zofka there", None), ("d", None, None)]
+    df = spark.createDataFrame(rows * 2, "message_id string, text string, speaker_name string")
+    for size in (5000, 1):
+        got = [(r["message_id"], [s["pii_text"] for s in r["spans"] or []]) for r in P.find_pii(df, table, rare, size).collect()]
+        assert sorted(got) == sorted([("a", ["Quirr"]), ("b", ["zofka quirr"]), ("c", ["Ann Hall"]), ("d", [])] * 2)

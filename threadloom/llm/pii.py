@@ -2,7 +2,8 @@
 
 Method.  Regular expressions propose spans; checksums (Luhn, mod 97, national check letters and digits) confirm
 those that carry one; words near a span, inside its sentence, raise or lower its score.  Names have no shape:
-they are proposed from a bounded table of name parts, learnt from the structured name fields of the tables, from
+they are proposed from the name parts learnt from the structured name fields of the tables (the frequent ones
+broadcast as a bounded table, the others joined with the words of the texts), from
 the participants of the message itself, and from slots in which a name must stand (salutations, titles,
 "schrieb ...:", "speak to ...").
 """
@@ -398,12 +399,8 @@ def _split_all(names: pd.Series) -> pd.Series:
     return names.map(split_name)
 
 
-def learn_names(name_fields: DataFrame, share: float = 2e-5, least: int = 3) -> NameTable:
-    """Bounded name tables from a column ``name`` of structured names.
-
-    Kept are the parts in at least ``least`` distinct full names and a ``share`` of them all, so each table has
-    at most 1 / share parts, whatever the size of the corpus.
-    """
+def _counted_parts(name_fields: DataFrame, share: float, least: int) -> tuple[DataFrame, float]:
+    """``w, f, l``: in how many distinct full names a part stands first and last; and the count from which it is frequent."""
     parts = F.pandas_udf(_split_all, "array<string>")
     full = cut_lineage(
         name_fields.where(F.col("name").isNotNull())
@@ -412,42 +409,94 @@ def learn_names(name_fields: DataFrame, share: float = 2e-5, least: int = 3) ->
         .where(F.size("p") >= 2)
         .groupBy("p").agg(F.lit(1).alias("one"))
     )
-    total = full.count()
-    floor = max(least, share * total)
+    floor = max(least, share * full.count())
     counted = (
         full.select(F.explode(F.array(F.struct(F.element_at("p", 1).alias("w"), F.lit(0).alias("k")), F.struct(F.element_at("p", -1).alias("w"), F.lit(1).alias("k")))).alias("x"))
         .groupBy("x.w").agg(F.sum(F.when(F.col("x.k") == 0, 1).otherwise(0)).alias("f"), F.sum(F.when(F.col("x.k") == 1, 1).otherwise(0)).alias("l"))
-        .where((F.col("f") >= floor) | (F.col("l") >= floor))
-        .collect()
+        .where(F.length("w") > 1)
     )
-    ok = [(r["w"], r["f"], r["l"]) for r in counted if len(r["w"]) > 1]
+    return counted, floor
+
+
+def _frequent(counted: DataFrame, floor: float) -> NameTable:
+    ok = [(r["w"], r["f"], r["l"]) for r in counted.where((F.col("f") >= floor) | (F.col("l") >= floor)).collect()]
     return NameTable(first=frozenset(w for w, f, n in ok if f >= floor and f >= n / 4), last=frozenset(w for w, f, n in ok if n >= floor and n >= f / 4))
 
 
+def learn_names(name_fields: DataFrame, share: float = 2e-5, least: int = 3) -> NameTable:
+    """Bounded tables of the frequent name parts of a column ``name`` of structured names.
+
+    Kept are the parts in at least ``least`` distinct full names and a ``share`` of them all, so each table has
+    at most 1 / share parts, whatever the size of the corpus; the others are in ``learn_all_names``.
+    """
+    return _frequent(*_counted_parts(name_fields, share, least))
+
+
+def learn_all_names(name_fields: DataFrame, share: float = 2e-5, least: int = 3) -> tuple[NameTable, DataFrame]:
+    """The frequent name parts as a table, and all others as rows ``w, first, last``, of any number."""
+    counted, floor = _counted_parts(name_fields, share, least)
+    counted = cut_lineage(counted)
+    first = (F.col("f") > 0) & (F.col("f") < floor) & (F.col("f") >= F.col("l") / 4)
+    last = (F.col("l") > 0) & (F.col("l") < floor) & (F.col("l") >= F.col("f") / 4)
+    return _frequent(counted, floor), counted.select("w", first.alias("first"), last.alias("last")).where("first or last")
+
+
 FOUND = "kind string, pii_text string, score double"
 
 
-def find_pii(messages: DataFrame, table: NameTable) -> DataFrame:
+def find_pii(messages: DataFrame, table: NameTable, rare: DataFrame | None = None, bucket: int = 10_000) -> DataFrame:
     """``message_id, spans ARRAY<STRUCT<start, end, kind, pii_text, score>>, scrubbed`` for every row of ``messages``.
 
     Needs ``message_id, text, speaker_name``; null texts give null results and empty ones empty results; copies
-    of a message give equal rows; texts are searched whole.
+    of a message give equal rows; texts are searched whole.  ``rare``: name parts ``w, first, last`` beside the
+    broadcast ``table``; they are joined with the distinct words of buckets of about ``bucket`` messages, so each
+    bucket gets those it may need.
     """
     shared = messages.sparkSession.sparkContext.broadcast(table)
+    out = "message_id string, spans array<struct<start:int,end:int,kind:string,pii_text:string,score:double>>, scrubbed string"
+
+    def judge(batch: pd.DataFrame, t: NameTable) -> pd.DataFrame:
+        spans, texts = [], []
+        for text, name in zip(batch["text"], batch["speaker_name"]):
+            if text is None:
+                spans.append(None), texts.append(None)
+                continue
+            found = find_spans(text, t, name)
+            spans.append([{"start": a, "end": b, "kind": k, "pii_text": text[a:b], "score": s} for a, b, k, s in found])
+            texts.append(scrub(text, found))
+        return pd.DataFrame({"message_id": batch["message_id"], "spans": spans, "scrubbed": texts})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        t = shared.value
         for batch in batches:
-            spans, texts = [], []
-            for text, name in zip(batch["text"], batch["speaker_name"]):
-                if text is None:
-                    spans.append(None), texts.append(None)
-                    continue
-                found = find_spans(text, t, name)
-                spans.append([{"start": a, "end": b, "kind": k, "pii_text": text[a:b], "score": s} for a, b, k, s in found])
-                texts.append(scrub(text, found))
-            yield pd.DataFrame({"message_id": batch["message_id"], "spans": spans, "scrubbed": texts})
+            yield judge(batch, shared.value)
 
-    return messages.select("message_id", "text", "speaker_name").mapInPandas(
-        run, "message_id string, spans array<struct<start:int,end:int,kind:string,pii_text:string,score:double>>, scrubbed string"
-    )
+    needed = messages.select("message_id", "text", "speaker_name")
+    if rare is None:
+        return needed.mapInPandas(run, out)
+
+    def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def rows(seen: dict[int, set[str]]) -> pd.DataFrame:
+            low = ((b, w) for b, ws in seen.items() for w in {w.rstrip(".").lower() for w in ws})
+            return pd.DataFrame(low, columns=["bucket", "w"])
+
+        seen: dict[int, set[str]] = {}
+        for batch in batches:
+            for b, text in zip(batch["bucket"], batch["text"]):
+                seen.setdefault(b, set()).update(_TOKEN.findall(text))
+            if sum(map(len, seen.values())) > 500_000:
+                yield rows(seen)
+                seen = {}
+        if seen:
+            yield rows(seen)
+
+    def with_rare(own: pd.DataFrame, more: pd.DataFrame) -> pd.DataFrame:
+        t = shared.value
+        if len(more):
+            t = NameTable(first=t.first | frozenset(more["w"][more["first"]]), last=t.last | frozenset(more["w"][more["last"]]), common=t.common)
+        return judge(own, t)
+
+    buckets = max(1, -(-messages.count() // bucket))
+    dealt = needed.withColumn("bucket", F.pmod(F.xxhash64("message_id", "text"), F.lit(buckets)))
+    held = dealt.where("text is not null").select("bucket", "text").mapInPandas(words, "bucket long, w string")
+    more = held.join(rare, "w").groupBy("bucket", "w").agg(F.bool_or("first").alias("first"), F.bool_or("last").alias("last"))
+    return dealt.groupBy("bucket").cogroup(more.groupBy("bucket")).applyInPandas(with_rare, out)
