@@ -63,3 +63,14 @@ def test_components_against_union_find(spark):
     got = dict(tuple(x) for x in C.connected_components(spark.createDataFrame(edges, "u string, v string")).collect())
     assert got == {x: root(x) for x in list(par)}
     assert C.connected_components(spark.createDataFrame([], "u string, v string")).count() == 0
+
+
+def test_lines_quoted_often_link_and_components_without_ids_are_conversations(spark):
+    long = "we waited the whole day for the van that was to bring number {} to us"
+    quote = long.format("one")
+    rows = [m("q0", None, 0, None, None, text=quote), *[m(f"q{k}", "a", k, None, None, text=f"> {quote}\nyes {k}") for k in range(1, 8)]]
+    rows += [m("k0", None, 0, None, None, text=long.format("two")), *[m(f"k{k}", None, k, None, None, text=f"> {long.format('two')}") for k in range(1, 3)]]
+    boiler = long.format("nine")  # stands in two stated conversations: links nothing
+    rows += [m("b0", None, 0, None, None, text=boiler), m("b1", "b", 1, None, None, text=boiler), m("b2", "c", 1, None, None, text=boiler)]
+    got = {tuple(r) for r in C.recover_ids(spark.createDataFrame(rows, MSG)).collect()}
+    assert got == {("q0", "a"), ("k0", "k0"), ("k1", "k0"), ("k2", "k0")}

@@ -3,7 +3,8 @@
 Method.  Messages that carry no conversation id are attached to the others as connected components over reply
 and quote links, found by alternating large-star and small-star joins; then every conversation is ordered by
 instant and validated.  An id that a message states is never overruled: a component gives its id only to those
-of its messages that have none, and only if all stated ids of the component agree.
+of its messages that have none, and only if all stated ids of the component agree; one that states none is a
+conversation under its smallest message id.
 """
 
 from __future__ import annotations
@@ -84,21 +85,24 @@ def quote_links(messages: DataFrame, ids: DataFrame, min_words: int = 12) -> Dat
 
     Two messages of an account are linked through a long line (a quoted one, its marks removed) that both hold, or
     through a stated reply (``in_reply_to`` in the metadata naming an ``email_message_id``).  The links of a line go
-    to its first holder only, so a line that thousands repeat gives as many links, not their square.  Texts are cut to
-    lines where they are read, and only lines that a message without an id holds are shuffled.
+    to its first holder only, so a line that thousands repeat gives as many links, not their square.  A line that messages
+    of several stated conversations hold is boilerplate and links nothing.  Texts are cut to lines where they are read, and
+    only lines that a message without an id holds are shuffled.
     """
     lines = messages.where("text is not null and message_id is not null").select(
-        "message_id", "account_id", F.col("conversation_id").isNull().alias("lost"), F.explode(F.split("text", r"\r?\n")).alias("line")
+        "message_id", "account_id", "conversation_id", F.explode(F.split("text", r"\r?\n")).alias("line")
     )
     norm = F.trim(F.regexp_replace(F.regexp_replace("line", r"^[>|\s]+", ""), r"\s+", " "))
-    keyed = lines.where(F.length("line") > 2 * min_words).select("message_id", "lost", F.xxhash64("account_id", norm).alias("h"), norm.alias("line"))
+    keyed = lines.where(F.length("line") > 2 * min_words).select("message_id", "conversation_id", F.xxhash64("account_id", norm).alias("h"), norm.alias("line"))
     keyed = keyed.where(F.size(F.split("line", " ")) >= min_words)
-    sought = cut_lineage(keyed.where("lost").select("h").distinct())
+    sought = cut_lineage(keyed.where("conversation_id is null").select("h").distinct())
     keyed = keyed.join(sought, "h", "left_semi")
-    keyed = keyed.groupBy("h", "line", "message_id").agg(F.max("lost").alias("lost"))
-    held = keyed.groupBy("h", "line").agg(F.min("message_id").alias("v"), F.max("lost").alias("any_lost"), F.count("*").alias("n"))
-    # A line in more than a handful of messages is boilerplate or a common phrase and links nothing.
-    by_line = keyed.join(held.where("any_lost and n between 2 and 4"), ["h", "line"]).where("message_id <> v").select(F.col("message_id").alias("u"), "v")
+    keyed = keyed.groupBy("h", "line", "message_id").agg(
+        F.min("conversation_id").alias("least"), F.max("conversation_id").alias("most"), F.bool_or(F.col("conversation_id").isNull()).alias("lost")
+    )
+    held = keyed.groupBy("h", "line").agg(F.min("message_id").alias("v"), F.bool_or("lost").alias("any_lost"), F.min("least").alias("least"), F.max("most").alias("most"))
+    held = held.where("any_lost and (least is null or least = most)").select("h", "line", "v")
+    by_line = keyed.join(held, ["h", "line"]).where("message_id <> v").select(F.col("message_id").alias("u"), "v")
     reply = ids.where("in_reply_to is not null").select(F.col("message_id").alias("u"), F.col("in_reply_to").alias("mail_id"))
     names = ids.where("mail_id is not null").select(F.col("message_id").alias("v"), "mail_id")
     return by_line.union(reply.join(names, "mail_id").select("u", "v")).distinct()
@@ -114,9 +118,9 @@ def recover_ids(messages: DataFrame) -> DataFrame:
     parts = cut_lineage(connected_components(quote_links(messages, ids)))
     joined = parts.join(ids.select(F.col("message_id").alias("node"), "conversation_id", "ordinal"), "node")
     settled = joined.groupBy("component").agg(
-        F.min("conversation_id").alias("id"), F.max("conversation_id").alias("other"), F.max(F.col("conversation_id").isNull()).alias("lost")
+        F.coalesce(F.min("conversation_id"), F.min("node")).alias("id"), F.max("conversation_id").alias("other"), F.max(F.col("conversation_id").isNull()).alias("lost")
     )
-    settled = settled.where("lost and id is not null and id = other")
+    settled = settled.where("lost and (other is null or id = other)")
     found = joined.where("conversation_id is null").join(settled, "component").select(F.col("node").alias("message_id"), F.col("id").alias("conversation_id"), "ordinal")
     places = ids.where("conversation_id is not null").select("conversation_id", "ordinal")
     return found.join(places, ["conversation_id", "ordinal"], "left_anti").select("message_id", "conversation_id")
