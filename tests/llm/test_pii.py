@@ -26,6 +26,16 @@ CASES = [
     ("Thanks,\nHanna", [("name", "Hanna")]),
     ("IBAN DE89 3704 0044 0532 0130 00 please", [("iban", "DE89 3704 0044 0532 0130 00")]),
     ("card 4111 1111 1111 1111 expires", [("card", "4111 1111 1111 1111")]),
+    ("My passport number is AB123456", [("id_number", "AB123456")]),
+    ("identity card number is C12345", [("id_number", "C12345")]),
+    ("passport number AB12345", [("id_number", "AB12345")]),
+    ("please deliver to 12 old mill court on friday", [("address", "12 old mill court")]),
+    ("PLEASE SEND IT TO 12 OLD MILL TERRACE TODAY", [("address", "12 OLD MILL TERRACE")]),
+    ("merci de livrer au 12 chemin des lilas", [("address", "12 chemin des lilas")]),
+    ("we waited 2 weeks in a row for 3 boxes", []),
+    ("my number on the order is odd, the back of the phone reads 401-361-6388", []),
+    ("we took 3 @ 12.50 each", []),
+    ("write to " + "a" * 80 + "@x.test now", [("email", "a" * 80 + "@x.test")]),
     ("", []),
 ]
 
@@ -36,6 +46,28 @@ def test_spans(text, want):
     assert got == want
 
 
+def test_lines_passed_over_hold_nothing():
+    """What is skipped (lines without digits or with few) changes no result: against every pattern over the whole text."""
+    texts = [c[0] for c in CASES] + ["\n".join(c[0] for c in CASES), " \n".join(c[0] for c in reversed(CASES))]
+    texts += [f"{t}\n1 a 2 b 3\n{t.upper()}" for t in texts]
+    for t in texts:
+        everything = P.email_spans(t) + list(P.number_spans(t)) + list(P.address_spans(t))
+        assert P._best(everything) == [s for s in P.find_spans(t, P.NameTable()) if s[2] != "name"]
+
+
+def test_long_texts_take_time_in_proportion():
+    import time
+
+    def took(n):
+        text = "Hanna Kessman lives at 12 Old Mill Court, tel. +33 839 555 5256 or jo.doe@x.test, order 4711 " * n
+        began = time.process_time()
+        assert len(P.find_spans(text, TABLE)) == 4 * n
+        return time.process_time() - began
+
+    took(50)
+    assert took(3200) < 24 * took(400) + 0.5
+
+
 def test_checksums():
     assert P.luhn("4111111111111111") and not P.luhn("4111111111111112")
     assert P.mod97("DE89370400440532013000") and not P.mod97("DE89370400440532013001")

@@ -11,8 +11,10 @@ the participants of the message itself, and from slots in which a name must stan
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -54,6 +56,7 @@ _DIGIT = re.compile(r"\d")
 _AT = re.compile(r"@| ?[(\[{] ?at ?[)\]}] ?| @ ", re.I)
 _LOCAL = re.compile(r"[A-Za-z0-9](?:[\w.+'-]*\w)?$")
 _DOMAIN = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:(?:\.| ?[(\[{] ?dot ?[)\]}] ?| dot )[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+", re.I)
+_TOP_LEVEL = re.compile(r"[A-Za-z]{2}$")
 _EDGE, _END = r"(?<![\w#@/.,+-])", r"(?![\w@]|[-./,]\d)"
 PHONE = re.compile(
     _EDGE
@@ -113,18 +116,27 @@ BEFORE_NAME = re.compile(
     r"|\b(?:schrieb|neighbour|neighbor|speak to|ask for|talk to|leave it with|husband|wife|father|mother|brother|sister|son|daughter|colleague|nachbarin|nachbar|meine nachbarin|bei|chez|vecin[ao]|vicin[ao]|vizinh[ao]|voisine?|hable con|con|parli con|parlare con|fale com|com|von|padosi|पड़ोसी|வீட்டு|regards from)) +$"
 )
 SALUTATION_END = re.compile(r"^\s*[,:!]?\s*(?:\n|$)|^,|^:")
-PRODUCT_BEFORE = re.compile(r"\b(?:modello|modelo|modèle|model|modell|regal|the damaged|lampe|lamp|étagère|mod\.)\s*$", re.I)
+PRODUCT_BEFORE = re.compile(r"\b(?:modello|modelo|modèle|model|modell|regal|lampe|lamp|étagère|mod\.)\s*$", re.I)
 PRODUCT_AFTER = re.compile(r"^\s+(?:lamps?|shel(?:f|ves)|model|chairs?|tables?|desks?|sofas?|beds?|series|edition|regale?|lampen?)\b", re.I)
 
+_CAPITAL = re.compile(rf"{_UP}(?<!\w.)(?<!\w['’-].)[\w\u0300-\u036f\u0900-\u0dff]*(?:['’-]{_L}+)*\.?")
 _TOKEN = re.compile(rf"{_L}[\ẁ-ͯऀ-෿]*(?:['’-]{_L}+)*\.?")
 
 
+ENDING_LETTERS = (3, 4, 5)
+
+
 @dataclass
 class NameTable:
-    """Bounded tables of name parts (lower case); ``common``: those that are ordinary words too."""
+    """Bounded tables of name parts (lower case); ``common``: those that are ordinary words too.
+
+    ``endings``: frequent endings of the corpus's family names; ``firms``: words of the desk's own mail domains.
+    """
 
     first: frozenset[str] = frozenset()
     last: frozenset[str] = frozenset()
+    endings: frozenset[str] = frozenset()
+    firms: frozenset[str] = frozenset()
     common: frozenset[str] = field(
         default_factory=lambda: frozenset(
             "mark will rose may dean amber grace hugo iris felix vera alma flora nora clara oskar linnea august robin summer april june mai von van de da maria best don al la an am in".split()
@@ -135,6 +147,9 @@ class NameTable:
     def __post_init__(self) -> None:
         self.parts = self.first | self.last
 
+    def last_like(self, low: str) -> bool:
+        return any(low[-n:] in self.endings for n in ENDING_LETTERS)
+
 
 def split_name(raw: str | None) -> list[str]:
     """Name parts of a structured name field (display name, "Last, First", decorated or with an address)."""
@@ -170,31 +185,40 @@ def email_spans(text: str) -> list[Span]:
         a, b = m.span()
         if m.group() == "@" and text[a - 1 : a] == " " and text[b : b + 1] == " ":
             a, b = a - 1, b + 1
-        local = _LOCAL.search(text[max(0, a - 64) : a])
+        local = _LOCAL.search(text[max(0, a - 254) : a])
         domain = _DOMAIN.match(text, b)
-        if local and domain:
+        if local and domain and _TOP_LEVEL.search(domain.group()):  # "3 @ 12.50" is a price
             out.append((a - len(local.group()), domain.end(), "email", 0.99 if m.group() == "@" else 0.9))
     return out
 
 
-# Cheap tests that spare most texts the patterns: eight digits with little between them; an IBAN's beginning.
-_LONG_NUMBER = re.compile(r"(?:\d[ ()./-]{0,2}){6}[A-Z]?\d|\d{4}[A-Z]\d\d|[A-Z]{6}\d\d[A-Z]|[A-Z]{5}\d{4}")
-_IBAN_HEAD = re.compile(r"(?<!\w)[A-Z]{2}\d\d[ A-Z\d]{11}")
-_STREET_WORD = re.compile(
-    r"(?i)\b(?:street|st|ave|avenue|road|rd|lane|ln|close|drive|boulevard|blvd|marg|nagar|gali|rue|impasse|calle|c/|avenida|plaza|rua|travessa|via|piazza|am|im)\b|stra(?:ß|ss)e|str\.|weg\b|gasse|platz"
-)
+def digit_lines(text: str) -> Iterator[tuple[int, int]]:
+    """The lines that hold a digit; no shape below spans lines or does without."""
+    stop = 0
+    while m := _DIGIT.search(text, stop):
+        start = text.rfind("\n", stop, m.start()) + 1 or stop
+        stop = text.find("\n", m.end())
+        stop = stop if stop >= 0 else len(text)
+        yield start, stop
 
 
-def number_spans(text: str) -> Iterator[Span]:
-    if not _LONG_NUMBER.search(text):
-        return
-    for m in IBAN.finditer(text) if _IBAN_HEAD.search(text) else ():
+def last_end(pattern: re.Pattern, text: str) -> int:
+    """Where the last match ends; -1 without one."""
+    end = -1
+    for m in pattern.finditer(text):
+        end = m.end()
+    return end
+
+
+def number_spans(text: str, start: int = 0, stop: int | None = None) -> Iterator[Span]:
+    """Numbers between two offsets (a line).  Of the words before a number that say what it is the nearest decides."""
+    stop = len(text) if stop is None else stop
+    for m in IBAN.finditer(text, start, stop):
         x = m.group().replace(" ", "")
         if 15 <= len(x) <= 34 and mod97(x):
             yield m.start(), m.end(), "iban", 0.99
-    for m in ID_SHAPES.finditer(text):
-        before, after = sentence_around(text, m.start(), m.end())
-        near = (before + " " + after).lower()
+    for m in ID_SHAPES.finditer(text, start, stop):
+        before, after = (x.lower() for x in sentence_around(text, m.start(), m.end()))
         score = 0.3
         if m["letter"]:
             score = 0.75 if check_letter(m["letter"]) else 0.4
@@ -202,42 +226,47 @@ def number_spans(text: str) -> Iterator[Span]:
             score = 0.5
         elif m["eleven"] or m["card"] or m["code"] or m["pan"]:
             score = 0.4
-        if ID_WORDS.search(near):
+        if ID_WORDS.search(before + " " + after):
             score += 0.5
-        if OTHER_NUMBER.search(before.lower()) and not ID_WORDS.search(before.lower()):
+        if OTHER_NUMBER.search(before) and not ID_WORDS.search(before):
             score -= 0.4
         if score >= 0.7:
             yield m.start(), m.end(), "id_number", min(score, 0.99)
-    for m in CARD.finditer(text):
+    for m in CARD.finditer(text, start, stop):
         digits = re.sub(r"\D", "", m.group())
         if 13 <= len(digits) <= 19 and luhn(digits):
             before, after = sentence_around(text, m.start(), m.end())
             if not OTHER_NUMBER.search((before + " " + after).lower()):
                 yield m.start(), m.end(), "card", 0.9
-    for m in PHONE.finditer(text):
+    for m in PHONE.finditer(text, start, stop):
         n = sum(c.isdigit() for c in m.group())
         if not 9 <= n <= 15:
             continue
-        before, after = sentence_around(text, m.start(), m.end())
+        before, after = (x.lower() for x in sentence_around(text, m.start(), m.end()))
         score = 0.8 if m.group()[0] in "+(" or m.group().startswith("00") or "/" in m.group() else 0.6
-        if PHONE_WORDS.search(before.lower()):
+        told, other = last_end(PHONE_WORDS, before), last_end(OTHER_NUMBER, before)
+        if told > other:
             score += 0.2
-        elif OTHER_NUMBER.search((before + " " + after).lower()):
+        elif other >= 0 or OTHER_NUMBER.search(after):
             score -= 0.4 if score > 0.7 else 0.5
         if score >= 0.5:
             yield m.start(), m.end(), "phone", min(score, 0.99)
 
 
-def address_spans(text: str) -> Iterator[Span]:
-    for m in ADDRESS.finditer(text):
+# In text without capitals street words are ordinary words as well: "2 weeks in a row", "by the way".
+_NO_STREET = re.compile(r"\b(?:the|a|an|this|that|my|your|our|his|her|its|their|no|one|some|any|in|on|of|at|to|right|same|every|each|other|first|long|half|all) \w+$")
+
+
+def address_spans(text: str, start: int = 0, stop: int | None = None) -> Iterator[Span]:
+    """Street addresses between two offsets (a line)."""
+    stop = len(text) if stop is None else stop
+    for m in ADDRESS.finditer(text, start, stop):
         yield m.start(), m.end(), "address", 0.85
-    if not _STREET_WORD.search(text):
-        return
-    for line in _SENTENCE.finditer(text):  # sentences typed without capitals, or in nothing else
+    for line in _SENTENCE.finditer(text, start, stop):  # sentences typed without capitals, or in nothing else
         part = line.group()
-        if (part.isupper() or part.islower()) and _DIGIT.search(part) and _STREET_WORD.search(part):
+        if (part.isupper() or part.islower()) and _DIGIT.search(part):
             for m in _ADDRESS_ANY_CASE.finditer(part):
-                if not m.group().lower().endswith((" by the way", "way", "row", "hill", "path", "place")):
+                if not _NO_STREET.search(m.group().lower()):
                     yield line.start() + m.start(), line.start() + m.end(), "address", 0.7
 
 
@@ -247,14 +276,18 @@ _SENTENCE = re.compile(r"(?:[^\n.!?]|\.(?=\s?\d)|\.(?!\s)){12,}")
 def name_spans(text: str, table: NameTable, own: frozenset[str], busy: list[tuple[int, int]]) -> Iterator[Span]:
     first, last, common, parts = table.first, table.last, table.common, table.parts
     shouting = text.isupper()
-    tokens = [(m.start(), m.group()) for m in _TOKEN.finditer(text)]
-    used, at, n = -1, 0, len(tokens)
-    for i, (a, w) in enumerate(tokens):
-        # Only known parts (in any case) and capitalised words can begin a name.
+    # Only known parts (in any case) and capitalised words can begin a name.
+    starts = [(m.start(), m.group()) for m in _CAPITAL.finditer(text)]
+    words = set(_TOKEN.findall(text))
+    typed = {w for w in words if (low := w[:-1] if w[-1] == "." else w) in parts or low in own}
+    if typed := {w for w in typed if w[0] == w[0].lower()}:
+        starts = sorted(starts + [(m.start(), m.group()) for m in _TOKEN.finditer(text) if m.group() in typed])
+    used, at, line = -1, 0, (0, -1)
+    for a, w in starts:
+        if a < used:
+            continue
         low = w.lower()
         capital = w[0] != low[0]
-        if i <= used or not (capital or low in parts or low in own):
-            continue
         dotted = w[-1] == "."
         word, low = (w[:-1], low[:-1]) if dotted else (w, low)
         b = a + len(w)
@@ -263,26 +296,28 @@ def name_spans(text: str, table: NameTable, own: frozenset[str], busy: list[tupl
         if at < len(busy) and busy[at][0] < b:
             continue
         is_first, is_last, is_own = low in first, low in last, low in own and len(low) > 2
-        if i + 1 < n and (not dotted or len(word) == 1):
-            a2, w2 = tokens[i + 1]
+        after = _TOKEN.search(text, b) if not dotted or len(word) == 1 else None
+        if after:
+            a2 = after.start()
             sep = text[b:a2]
-            word2 = w2.rstrip(".")
-            b2 = a2 + len(word2)
-            if sep in _BETWEEN and not (at < len(busy) and busy[at][0] < b2):
-                low2 = word2.lower()
-                capital2 = word2[0] != low2[0]
-                awaited = not capital and is_first and BEFORE_NAME.search(text[max(0, a - 40) : a].lower()) is not None
-                usual = frozenset() if awaited else common
-                if _pair(word, low, capital, is_first, is_own, dotted, sep, word2, low2, capital2, first, last, own, usual, shouting) and not _product(text, a, b2):
-                    used = i + 1
-                    yield a, b2, "name", 0.9
-                    continue
+            if sep in _BETWEEN:
+                word2 = after.group().rstrip(".")
+                b2 = a2 + len(word2)
+                if not (at < len(busy) and busy[at][0] < b2):
+                    low2 = word2.lower()
+                    capital2 = word2[0] != low2[0]
+                    awaited = not capital and is_first and BEFORE_NAME.search(text[max(0, a - 40) : a].lower()) is not None
+                    usual = frozenset() if awaited else common
+                    if _pair(word, low, capital, is_first, is_own, dotted, sep, word2, low2, capital2, table, own, usual, shouting) and not _product(text, a, b2):
+                        used = after.end()
+                        yield a, b2, "name", 0.9
+                        continue
         known = is_first or is_last or is_own
         if len(word) < 2 or not (known or capital) or (not capital and low in common):
             continue
         before = text[max(0, a - 40) : a].lower()
         slot = BEFORE_NAME.search(before)
-        if not known and not (slot and _looks_last(word)):
+        if not known and not (slot and _looks_last(word) and low not in table.firms):
             continue
         end = a + len(word)
         if _product(text, a, end):
@@ -298,8 +333,10 @@ def name_spans(text: str, table: NameTable, own: frozenset[str], busy: list[tupl
                 score += 0.25
             if score < 0.5 and RECEIPT_AFTER.match(text, end):
                 score += 0.4
-            start, stop = text.rfind("\n", 0, a) + 1, text.find("\n", end)
-            if text[start : stop if stop >= 0 else len(text)].strip("> |\r\t") == word:  # alone on its line: a signature
+            if a > line[1]:
+                stop = text.find("\n", a)
+                line = (text.rfind("\n", line[1] if line[1] > 0 else 0, a) + 1, stop if stop >= 0 else len(text))
+            if line[1] - line[0] < len(word) + 40 and text[line[0] : line[1]].strip("> |\r\t") == word:  # alone on its line: a signature
                 score += 0.5
         if score >= 0.5:
             yield a, end, "name", min(score, 0.95)
@@ -308,8 +345,9 @@ def name_spans(text: str, table: NameTable, own: frozenset[str], busy: list[tupl
 _BETWEEN = frozenset([" ", "  ", "\n", ", ", "\n> ", "\n| ", "\n>", "\n>> ", "\n> > "])
 
 
-def _pair(word, low, capital, is_first, is_own, dotted, sep, word2, low2, capital2, first, last, own, common, shouting) -> bool:  # noqa: ANN001
+def _pair(word, low, capital, is_first, is_own, dotted, sep, word2, low2, capital2, table, own, common, shouting) -> bool:  # noqa: ANN001
     """Whether two neighbouring words are an (initial or) first name with a last name, or "Last, First"."""
+    first, last = table.first, table.last
     is_last2 = low2 in last or low2 in own
     if sep == ", ":
         return capital == capital2 and low in last and low2 in first and low not in first
@@ -323,18 +361,8 @@ def _pair(word, low, capital, is_first, is_own, dotted, sep, word2, low2, capita
     if not is_first or low2 in first or low2 in common:
         return False
     if capital:
-        return (_looks_last(word2) and not shouting) or (shouting and low not in common and len(low2) >= 4 and _last_like(low2))
-    return low not in common and len(low2) >= 5 and _last_like(low2)
-
-
-# Frequent endings of family names in the languages at hand.
-_LAST_ENDINGS = tuple(
-    "son sson sen mann ström strom berg dorf hoff stad ton ley worth field wick brook hurst quist gel galle lermann weiler ler ova enko nko ini etti aux elle ard eira oso ez aj ar appa ford well man stein feld bach nagel".split()
-)
-
-
-def _last_like(low: str) -> bool:
-    return low.endswith(_LAST_ENDINGS)
+        return (_looks_last(word2) and not shouting) or (shouting and low not in common and len(low2) >= 4 and table.last_like(low2))
+    return low not in common and len(low2) >= 5 and table.last_like(low2)
 
 
 def _looks_last(word: str) -> bool:
@@ -343,7 +371,7 @@ def _looks_last(word: str) -> bool:
 
 # Words that begin with a capital in the slots above without being names.
 _NOT_NAMES = frozenset(
-    "team support sir madam damen herren kunde kundin kundenservice monsieur madame messieurs mesdames client customer service everyone there all folks northquay "
+    "team support sir madam damen herren kunde kundin kundenservice monsieur madame messieurs mesdames client customer service everyone there all folks "
     "order your the parcel please monday tuesday wednesday thursday friday saturday sunday montag dienstag mittwoch donnerstag freitag samstag sonntag lunes martes lundi mardi".split()
 )
 
@@ -360,28 +388,37 @@ def find_spans(text: str, table: NameTable, speaker: str | None = None) -> list[
     """Non-overlapping spans in reading order: (start, end, kind, score).  The whole text is searched."""
     spans: list[Span] = []
     spans += email_spans(text)
-    if _DIGIT.search(text):
-        spans += number_spans(text)
-        spans += address_spans(text)
-    spans = _best(spans)
+    for start, stop in digit_lines(text):
+        if len(_DIGIT.findall(text, start, stop)) >= 5:  # no number has fewer
+            spans += number_spans(text, start, stop)
+        spans += address_spans(text, start, stop)
+    if len(spans) > 1:
+        spans = _best(spans)
     busy = [(a, b) for a, b, _, _ in spans]
     # web addresses hold no names
     if "www." in text or "://" in text:
         busy = sorted(busy + [m.span() for m in re.finditer(r"\b(?:https?://|www\.)\S+", text)])
-    own = frozenset(w.lower() for w in split_name(speaker))
+    own = _own_parts(speaker)
     names = list(name_spans(text, table, own, busy))
     return sorted(spans + names) if names else spans
 
 
+@lru_cache(maxsize=50_000)
+def _own_parts(speaker: str | None) -> frozenset[str]:
+    return frozenset(w.lower() for w in split_name(speaker))
+
+
 _RANK = {"email": 0, "iban": 1, "card": 2, "id_number": 3, "phone": 4, "address": 5, "name": 6}
 
 
 def _best(spans: list[Span]) -> list[Span]:
+    """The spans without those that overlap a better one (by kind, then length), in order; kept ones never overlap."""
     out: list[Span] = []
     for s in sorted(spans, key=lambda s: (_RANK[s[2]], -(s[1] - s[0]))):
-        if all(s[1] <= o[0] or o[1] <= s[0] for o in out):
-            out.append(s)
-    return sorted(out)
+        i = bisect_left(out, s)
+        if (i == 0 or out[i - 1][1] <= s[0]) and (i == len(out) or s[1] <= out[i][0]):
+            out.insert(i, s)
+    return out
 
 
 def scrub(text: str, spans: list[Span]) -> str:
@@ -418,9 +455,10 @@ def _counted_parts(name_fields: DataFrame, share: float, least: int) -> tuple[Da
     return counted, floor
 
 
-def _frequent(counted: DataFrame, floor: float) -> NameTable:
+def _frequent(counted: DataFrame, floor: float, endings: frozenset[str] = frozenset(), firms: frozenset[str] = frozenset()) -> NameTable:
     ok = [(r["w"], r["f"], r["l"]) for r in counted.where((F.col("f") >= floor) | (F.col("l") >= floor)).collect()]
-    return NameTable(first=frozenset(w for w, f, n in ok if f >= floor and f >= n / 4), last=frozenset(w for w, f, n in ok if n >= floor and n >= f / 4))
+    first, last = frozenset(w for w, f, n in ok if f >= floor and f >= n / 4), frozenset(w for w, f, n in ok if n >= floor and n >= f / 4)
+    return NameTable(first=first, last=last, endings=endings, firms=firms)
 
 
 def learn_names(name_fields: DataFrame, share: float = 2e-5, least: int = 3) -> NameTable:
@@ -432,13 +470,28 @@ def learn_names(name_fields: DataFrame, share: float = 2e-5, least: int = 3) ->
     return _frequent(*_counted_parts(name_fields, share, least))
 
 
-def learn_all_names(name_fields: DataFrame, share: float = 2e-5, least: int = 3) -> tuple[NameTable, DataFrame]:
+def learn_endings(counted: DataFrame, share: float = 0.005) -> frozenset[str]:
+    """Endings of a few letters that a ``share`` of all distinct family names have: at most 3 / share of them."""
+    family = counted.where("l > 0 and l >= f")
+    ends = F.explode(F.array(*[F.when(F.length("w") > n, F.substring("w", -n, n)) for n in ENDING_LETTERS])).alias("e")
+    common = family.select(ends).where("e is not null").groupBy("e").agg(F.count("*").alias("n"))
+    return frozenset(r[0] for r in common.where(F.col("n") >= max(2.0, share * family.count())).select("e").collect())
+
+
+def learn_all_names(name_fields: DataFrame, share: float = 2e-5, least: int = 3, firms: frozenset[str] = frozenset()) -> tuple[NameTable, DataFrame]:
     """The frequent name parts as a table, and all others as rows ``w, first, last``, of any number."""
     counted, floor = _counted_parts(name_fields, share, least)
     counted = cut_lineage(counted)
     first = (F.col("f") > 0) & (F.col("f") < floor) & (F.col("f") >= F.col("l") / 4)
     last = (F.col("l") > 0) & (F.col("l") < floor) & (F.col("l") >= F.col("f") / 4)
-    return _frequent(counted, floor), counted.select("w", first.alias("first"), last.alias("last")).where("first or last")
+    table = _frequent(counted, floor, learn_endings(counted), firms)
+    return table, counted.select("w", first.alias("first"), last.alias("last")).where("first or last")
+
+
+def firm_words(addresses: DataFrame) -> frozenset[str]:
+    """Words of the domains in a column ``address`` of the desk's own mail addresses (a table of fixed size)."""
+    domain = F.split(F.lower(F.substring_index("address", "@", -1)), r"[^\p{L}]+")
+    return frozenset(r[0] for r in addresses.select(F.explode(domain).alias("w")).where(F.length("w") > 2).distinct().collect())
 
 
 FOUND = "kind string, pii_text string, score double"
@@ -457,13 +510,15 @@ def find_pii(messages: DataFrame, table: NameTable, rare: DataFrame | None = Non
 
     def judge(batch: pd.DataFrame, t: NameTable) -> pd.DataFrame:
         spans, texts = [], []
+        same: dict[tuple[str, str | None], tuple[list[dict], str]] = {}  # copies of a message lie in one batch or bucket
         for text, name in zip(batch["text"], batch["speaker_name"]):
             if text is None:
                 spans.append(None), texts.append(None)
                 continue
-            found = find_spans(text, t, name)
-            spans.append([{"start": a, "end": b, "kind": k, "pii_text": text[a:b], "score": s} for a, b, k, s in found])
-            texts.append(scrub(text, found))
+            if (done := same.get((text, name))) is None:
+                found = find_spans(text, t, name)
+                done = same[text, name] = [{"start": a, "end": b, "kind": k, "pii_text": text[a:b], "score": s} for a, b, k, s in found], scrub(text, found)
+            spans.append(done[0]), texts.append(done[1])
         return pd.DataFrame({"message_id": batch["message_id"], "spans": spans, "scrubbed": texts})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -492,7 +547,7 @@ def find_pii(messages: DataFrame, table: NameTable, rare: DataFrame | None = Non
     def with_rare(own: pd.DataFrame, more: pd.DataFrame) -> pd.DataFrame:
         t = shared.value
         if len(more):
-            t = NameTable(first=t.first | frozenset(more["w"][more["first"]]), last=t.last | frozenset(more["w"][more["last"]]), common=t.common)
+            t = NameTable(first=t.first | frozenset(more["w"][more["first"]]), last=t.last | frozenset(more["w"][more["last"]]), endings=t.endings, firms=t.firms, common=t.common)
         return judge(own, t)
 
     buckets = max(1, -(-messages.count() // bucket))

@@ -73,7 +73,8 @@ def _name_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = read_table(spark, sf_dir, "messages").where(F.col("text").isNotNull())
     rows = messages.select("message_id", "text", F.col("metadata")["raw_speaker_name"].alias("speaker_name"))
-    found = pii.find_pii(rows, *pii.learn_all_names(_name_fields(spark, sf_dir)))
+    firms = pii.firm_words(read_table(spark, sf_dir, "agents").select(F.col("mail_address").alias("address")))
+    found = pii.find_pii(rows, *pii.learn_all_names(_name_fields(spark, sf_dir), firms=firms))
     return (
         found.select("message_id", F.explode("spans").alias("s"))
         .select("message_id", "s.kind", "s.pii_text")
