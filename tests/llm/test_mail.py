@@ -35,6 +35,12 @@ def test_unmarked_history_is_found_whatever_the_wrapping():
     assert got["a"] == [1, 2] and got["b"] == [1]
 
 
+def test_an_unmarked_match_goes_whether_on_one_line_or_more():
+    one = " ".join(A.split())
+    for text in (f"I agree with this.\n{one}", f"I agree with this.\n{one.replace(' since ', chr(10) + 'since ')}"):
+        assert dict((i, n) for i, n, _ in M.new_lines([("a", A, None), ("b", text, None)], [], frozenset(), 20))["b"] == [1]
+
+
 def test_automaton_cover_equals_brute_force():
     r = random.Random(2)
     for _ in range(60):
@@ -71,8 +77,7 @@ def test_spark_blocks_give_what_one_block_gives(spark):
     one, many = show(M.newly_written(df, least=20)), show(M.newly_written(df, least=20, block=8))
     assert len(one) == 90 and sum(a[0].startswith("m") and len(a[1]) == 2 for a in one) == 60
     assert {a for a in many if a[0].startswith("x")} == {a for a in one if a[0].startswith("x")}
-    # the later of two holders inherits; across blocks order is by first holder, so no quoted line may survive
-    assert all(len(a[1]) <= 2 for a in many if a[0].startswith("m"))
+    assert many == one
 
 
 def test_blocks_keep_order_and_find_pieced_runs(spark):
@@ -95,6 +100,23 @@ def test_blocks_keep_order_and_find_pieced_runs(spark):
     assert one == show(M.newly_written(df, block=2)) == show(M.newly_written(df, block=5)) and sum(a[1] == (1, 2) for a in one) > 20
 
 
+def test_rare_and_long_footers_go_with_their_threads(spark):
+    """Footers of any length that few of many mails have are found; lines that may stand anywhere are none."""
+    r = random.Random(5)
+    legal = "This message and what is attached to it are meant for the person named above only. " * 4
+    rows = []
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(9))
+    for i in range(2600):
+        body = f"Hello,\n\nthis is {word()} about {word()} and it is new."
+        tail = f"\n\n{legal}" if i % 130 == 0 else ""
+        rows.append((f"m{i:05d}", f"t{i // 2}", "gmail", i, body + tail, {"raw_speaker_name": f"Person {i % 300}"}))
+    rows += [(f"h{i:05d}", "hot", "gmail", i, f"Well, line {word()} is new here." + (f"\n\n{legal}" if i == 5 else ""), {"raw_speaker_name": f"Person {i}"}) for i in range(30)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for block, parts in ((400, 2000), (400, 50), (10, 50)):
+        got = {a["message_id"]: a["line_nos"] for a in M.newly_written(df, block=block, parts=parts).collect()}
+        assert len(got) == len(rows) and all(v == ([1] if k[0] == "h" else [1, 3]) for k, v in got.items())
+
+
 def test_nulls_repeats_and_empty(spark):
     rows = [("a", None, "gmail", None, "Hello there.", None), ("a", None, "gmail", None, "Hello there.", None), ("b", "c", "gmail", 1, None, None), (None, "c", "gmail", 1, "x", None), ("w", "c", "whatsapp", 1, "x", None)]
     df = spark.createDataFrame(rows, SCHEMA)

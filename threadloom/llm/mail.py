@@ -5,18 +5,19 @@ A mail's words are run through it, whatever its line wrapping; maximal matches w
 long enough are inherited.  Quote marks, lead-in lines and header blocks delimit quoted zones, in which text is
 inherited even if its source never arrived.  From what remains, recurring sender endings are stripped: a closing
 formula or separator with the name and contact lines under it, and footers learnt from the corpus as lines that
-recur over many senders and practically only in last paragraphs.
+recur over senders and practically only in last paragraphs.
 
 Skew.  A thread of more than ``block`` mails is split into blocks by a hash of the message id; each block gets,
 beside its own mails, those mails of the thread that first hold one of its runs of ``least`` words, and adds each at
-its place in the order of arrival.  So every match is found as in one block, and no task need get a whole hot thread.
+its place in the order of arrival.  So every match is found as in one block, and no task need get a whole hot thread;
+the other threads are read whole, as they are without hot ones.
 """
 
 from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Iterator, Set
 from hashlib import blake2b
 
 import pandas as pd
@@ -48,7 +49,7 @@ _LABEL = (
 _HEADER = re.compile(rf"^\s*[*]?{_LABEL}", re.I)
 _SENDER_HEADER = re.compile(r"^\s*[*]?(?:from|von|de|da|van|od|प्रेषक|अनुप्रेषक)\s?:.*(?:@|<|\[)", re.I)
 _ORIGINAL = re.compile(r"^\s*-{3,}\s*\S.*\S\s*-{3,}\s*$")
-_WORD = re.compile(r"\w+", re.U)
+_WORD = re.compile(r"[\w\u0300-\u036f\u0900-\u0dff]+", re.U)  # with the vowel signs of Indic scripts
 _DIGITS = re.compile(r"\d+")
 _POSTSCRIPT = re.compile(r"^\s*p\.?\s?s\.?\s*[:.\s]", re.I)
 _DEVICE = re.compile(r"^(?:sent from|get the|gesendet (?:von|mit)|von meinem .* gesendet|envoyé (?:de|depuis)|enviado (?:desde|do|de)|inviato (?:da|dal)|मेरे .* से भेजा)\b.{0,60}$", re.I)
@@ -102,6 +103,11 @@ def masked(line: str) -> str:
     return _DIGITS.sub("9", " ".join(line.split()))
 
 
+def line_key(line: str) -> int:
+    """Key of a line of any length, numbers and blanks aside."""
+    return int.from_bytes(blake2b(masked(line).encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+
+
 def is_closing(line: str) -> bool:
     return len(line) <= 60 and line.strip().rstrip(",.!;").strip().lower() in CLOSINGS
 
@@ -112,7 +118,7 @@ def _ending_like(line: str) -> bool:
     return len(x) <= 80 and len(x.split()) <= 9 and not x.endswith((".", "!", "?", "।", ":"))
 
 
-def signature_start(lines: list[str], kinds: list[str], a: int, b: int, footers: frozenset[str], own: frozenset[str]) -> int:
+def signature_start(lines: list[str], kinds: list[str], a: int, b: int, footers: Set[int], own: frozenset[str]) -> int:
     """Where the ending of the plain segment begins (``b``: it has none)."""
     end = b
     for i in range(b - 1, a, -1):  # a postscript follows the ending
@@ -122,13 +128,13 @@ def signature_start(lines: list[str], kinds: list[str], a: int, b: int, footers:
     # Footers and separators from the bottom up.
     while end > a:
         x = lines[end - 1]
-        if not x.strip() or _RULE.match(x) or masked(x) in footers or (_DEVICE.match(x.strip()) and _ending_like(x)):
+        if not x.strip() or _RULE.match(x) or (footers and line_key(x) in footers) or (_DEVICE.match(x.strip()) and _ending_like(x)):
             end -= 1
         else:
             break
     cut = end
     # The last closing formula or separator with nothing but ending lines under it.
-    for i in range(end - 1, max(a - 1, end - 16), -1):
+    for i in range(end - 1, a - 1, -1):
         x = lines[i]
         if not x.strip():
             continue
@@ -150,7 +156,7 @@ def signature_start(lines: list[str], kinds: list[str], a: int, b: int, footers:
         first = _words(block[0]) if block else []
         if p > a and block and len(block) <= 6 and first and len(first) <= 4 and all(w in own for w in first) and all(map(_ending_like, block)):
             cut = p
-    while cut > a and (not lines[cut - 1].strip() or _RULE.match(lines[cut - 1]) or masked(lines[cut - 1]) in footers):
+    while cut > a and (not lines[cut - 1].strip() or _RULE.match(lines[cut - 1]) or (footers and line_key(lines[cut - 1]) in footers)):
         cut -= 1
     return cut
 
@@ -225,7 +231,7 @@ class SuffixAutomaton:
         return out
 
 
-def own_lines(text: str, sender: str | None, footers: frozenset[str]) -> tuple[list[str], list[int]]:
+def own_lines(text: str, sender: str | None, footers: Set[int]) -> tuple[list[str], list[int]]:
     """The text's lines, and the numbers from 0 of those that are neither marked as quoted nor an ending."""
     lines = text.replace("\r", "").split("\n")
     kinds = zones(lines)
@@ -239,13 +245,13 @@ def own_lines(text: str, sender: str | None, footers: frozenset[str]) -> tuple[l
     return lines, keep
 
 
-def own_words(text: str, sender: str | None, footers: frozenset[str]) -> list[str]:
+def own_words(text: str, sender: str | None, footers: Set[int]) -> list[str]:
     lines, keep = own_lines(text, sender, footers)
     return [w for i in keep for w in _words(lines[i])]
 
 
 def new_lines(
-    mails: list[tuple[str, str, str | None]], sources: list[tuple[int, list[str]]], footers: frozenset[str], least: int
+    mails: list[tuple[str, str, str | None]], sources: list[tuple[int, list[str]]], footers: Set[int], least: int
 ) -> Iterator[tuple[str, list[int], list[str]]]:
     """For one block of a thread: (id, numbers from 1 of the new non-blank lines, those lines).
 
@@ -278,7 +284,7 @@ def new_lines(
                     total[i] = total.get(i, 0) + 1
                     hit[i] = hit.get(i, 0) + c
                 gone = {i for i in total if hit[i] == total[i]}
-                if len(gone) >= 2:  # one sentence said again is no quotation
+                if sum(total[i] for i in gone) >= least:  # however the lines are wrapped
                     keep = [i for i in keep if i not in gone]
             automaton.add(coded)
         yield mid, [i + 1 for i in keep], [lines[i] for i in keep]
@@ -297,20 +303,21 @@ def _postscript(lines: list[str], rest: range) -> Iterator[int]:
 # --- Spark -----------------------------------------------------------------------------------------
 
 
-def learn_footers(mails: DataFrame, share: float = 0.0005, least: int = 5, in_last: float = 0.95) -> list[str]:
-    """Masked lines that recur over senders, nearly always in a last paragraph that is not the first.
+def footer_lines(mails: DataFrame, least: int = 5, surely_last: float = 0.75) -> tuple[DataFrame, DataFrame]:
+    """Lines that recur over senders, nearly always in a last paragraph that is not the first.
 
-    A line is kept if at least ``least`` senders and the ``share`` of all mails have it; so at most
-    ``lines per mail / share`` can be kept, whatever the size of the corpus, and they are collected.
+    Returns ``key, n`` of every such line (see ``line_key``; lines of any length, however rare), and ``thread, key``
+    of the threads that hold it at an end.  A line counts if at least ``least`` senders have it and the share of last
+    paragraphs among its occurrences is above ``surely_last`` with 95 % confidence, whatever the size of the corpus.
     """
 
     def stats(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out: dict[tuple[str, str], list[int]] = {}
-            for sender, text in zip(batch["sender"], batch["text"]):
+            out: list[tuple[str, str, int, bool]] = []
+            for thread, sender, text in zip(batch["thread"], batch["sender"], batch["text"]):
                 lines = text.replace("\r", "").split("\n")
                 kinds = zones(lines)
-                seen: dict[str, int] = {}
+                seen: dict[int, bool] = {}
                 for a, b in segments(kinds):
                     e = b
                     while e > a and not lines[e - 1].strip():
@@ -319,29 +326,19 @@ def learn_footers(mails: DataFrame, share: float = 0.0005, least: int = 5, in_la
                     while p > a and lines[p - 1].strip() and not _RULE.match(lines[p - 1]):
                         p -= 1
                     for i in range(a, e):
-                        if kinds[i] == PLAIN and len(lines[i]) <= 200 and not _RULE.match(lines[i]):
-                            seen[masked(lines[i])] = int(i >= p and p > a)
-                for line, last in seen.items():
-                    k = out.setdefault((line, sender or ""), [0, 0])
-                    k[0] += 1
-                    k[1] += last
-            if out:
-                rows = [(line, sender, n, last) for (line, sender), (n, last) in out.items()]
-                yield pd.DataFrame(rows, columns=["line", "sender", "n", "n_last"])
-
-    counted = mails.select("sender", "text").mapInPandas(stats, "line string, sender string, n long, n_last long")
-    counted = counted.groupBy("line", F.pmod(F.xxhash64("sender"), F.lit(64)).alias("part")).agg(
-        F.sum("n").alias("n"), F.sum("n_last").alias("n_last"), F.approx_count_distinct("sender").alias("senders")
-    )
-    total = mails.count()
-    rows = (
-        counted.groupBy("line")
-        .agg(F.sum("n").alias("n"), F.sum("n_last").alias("n_last"), F.sum("senders").alias("senders"))
-        .where((F.col("senders") >= least) & (F.col("n") >= share * total) & (F.col("n_last") >= in_last * F.col("n")))
-        .select("line")
-        .collect()
-    )
-    return sorted(r[0] for r in rows)
+                        if kinds[i] == PLAIN and not _RULE.match(lines[i]):
+                            seen[line_key(lines[i])] = i >= p and p > a
+                out += [(thread, sender or "", k, last) for k, last in seen.items()]
+            yield pd.DataFrame(out, columns=["thread", "sender", "key", "last"])
+
+    lines = mails.select("thread", "sender", "text").mapInPandas(stats, "thread string, sender string, key long, last boolean")
+    lines = cut_lineage(lines.select("thread", F.xxhash64("sender").alias("sender"), "key", "last"))
+    counted = lines.groupBy("key").agg(F.count("*").alias("n"), F.count(F.when(F.col("last"), 1)).alias("m"), F.approx_count_distinct("sender").alias("senders"))
+    # The lower end of the Wilson interval of the share m / n.
+    z, share = 1.96, F.col("m") / F.col("n")
+    lower = (share + z * z / (2 * F.col("n")) - z * F.sqrt(share * (1 - share) / F.col("n") + z * z / (4 * F.col("n") * F.col("n")))) / (1 + z * z / F.col("n"))
+    found = cut_lineage(counted.where((F.col("senders") >= least) & (lower >= surely_last)).select("key", "n"))
+    return found, lines.where("last").select("thread", "key")
 
 
 def distinct_mails(messages: DataFrame) -> DataFrame:
@@ -355,7 +352,7 @@ def distinct_mails(messages: DataFrame) -> DataFrame:
     )
 
 
-def newly_written(messages: DataFrame, least: int = 20, block: int = 400) -> DataFrame:
+def newly_written(messages: DataFrame, least: int = 20, block: int = 400, parts: int = 2000) -> DataFrame:
     """The mails' own text: ``message_id, line_nos ARRAY<INT>, lines ARRAY<STRING>``, a row for each mail with text.
 
     Mails without text give no row, blank ones a row with empty lists; equal mails under several ids are each
@@ -364,19 +361,13 @@ def newly_written(messages: DataFrame, least: int = 20, block: int = 400) -> Dat
     """
     spark = messages.sparkSession
     mails = cut_lineage(distinct_mails(messages))
-    footers = spark.sparkContext.broadcast(frozenset(learn_footers(mails)))
-    sizes = mails.groupBy("thread").agg(F.count("*").alias("n")).where(F.col("n") > block)
-    if sizes.isEmpty():
-        blocked = mails.withColumn("block", F.lit(0).cast("long"))
-        sources = None
-    else:
-        blocked = cut_lineage(
-            mails.join(sizes, "thread", "left").withColumn(
-                "block", F.coalesce(F.pmod(F.xxhash64("message_id"), F.ceil(F.col("n") / block)), F.lit(0)).cast("long")
-            )
-        )
-        sources = _hot_sources(blocked.where("n is not null").drop("n"), footers, least)
-        blocked = blocked.drop("n")
+    found, at_end = footer_lines(mails)
+    # Lines in one of ``parts`` mails are few by counting and broadcast; the others go with the threads that hold them.
+    often = F.col("n") * parts >= mails.count()
+    footers = spark.sparkContext.broadcast(frozenset(r[0] for r in found.where(often).select("key").collect()))
+    rare = at_end.join(found.where(~often), "key").groupBy("thread").agg(F.collect_set("key").alias("rare"))
+    mails = mails.join(rare, "thread", "left")
+    sizes = cut_lineage(mails.groupBy("thread").agg(F.count("*").alias("n")).where(F.col("n") > block))
     out = "message_id string, line_nos array<int>, lines array<string>"
 
     def judge(own: pd.DataFrame, other: pd.DataFrame | None) -> pd.DataFrame:
@@ -387,30 +378,35 @@ def newly_written(messages: DataFrame, least: int = 20, block: int = 400) -> Dat
             mine = place(own)
             other = other.sort_values(["ordinal", "message_id"], na_position="last")
             sources = [(bisect_left(mine, p), list(ws)) for p, ws in zip(place(other), other["words"])]
-        rows = list(new_lines(list(zip(own["message_id"], own["text"], own["sender"])), sources, footers.value, least))
+        known = with_rare(footers.value, own["rare"].iloc[0])
+        rows = list(new_lines(list(zip(own["message_id"], own["text"], own["sender"])), sources, known, least))
         return pd.DataFrame({"message_id": [r[0] for r in rows], "line_nos": [r[1] for r in rows], "lines": [r[2] for r in rows]})
 
-    if sources is None:
-        def many(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            """Whole threads of a sorted partition; a thread may span batches."""
-            held: list[pd.DataFrame] = []
-            for batch in batches:
-                held.append(batch)
-                both = pd.concat(held, ignore_index=True) if len(held) > 1 else batch
-                last = both["thread"].iloc[-1]
-                ready, rest = both[both["thread"] != last], both[both["thread"] == last]
-                held = [rest]
-                if len(ready):
-                    yield pd.concat([judge(g, None) for _, g in ready.groupby("thread", sort=False)], ignore_index=True)
-            if held:
-                yield judge(held[0], None)
-
-        return blocked.repartition("thread").sortWithinPartitions("thread").mapInPandas(many, out)
-    return (
-        blocked.groupBy("thread", "block")
-        .cogroup(sources.groupBy("thread", "block"))
-        .applyInPandas(judge, out)
-    )
+    def many(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Whole threads of a sorted partition; a thread may span batches."""
+        held: list[pd.DataFrame] = []
+        for batch in batches:
+            held.append(batch)
+            both = pd.concat(held, ignore_index=True) if len(held) > 1 else batch
+            last = both["thread"].iloc[-1]
+            ready, rest = both[both["thread"] != last], both[both["thread"] == last]
+            held = [rest]
+            if len(ready):
+                yield pd.concat([judge(g, None) for _, g in ready.groupby("thread", sort=False)], ignore_index=True)
+        if held:
+            yield judge(held[0], None)
+
+    if sizes.isEmpty():
+        return mails.repartition("thread").sortWithinPartitions("thread").mapInPandas(many, out)
+    cold = mails.join(sizes.select("thread"), "thread", "left_anti")
+    hot = mails.join(sizes, "thread").withColumn("block", F.pmod(F.xxhash64("message_id"), F.ceil(F.col("n") / block)).cast("long"))
+    hot = cut_lineage(hot.drop("n"))
+    parted = hot.groupBy("thread", "block").cogroup(_hot_sources(hot, footers, least).groupBy("thread", "block")).applyInPandas(judge, out)
+    return cold.repartition("thread").sortWithinPartitions("thread").mapInPandas(many, out).unionByName(parted)
+
+
+def with_rare(footers: frozenset[int], rare: list[int] | None) -> Set[int]:
+    return footers.union(int(k) for k in rare) if rare is not None and len(rare) else footers
 
 
 def _hot_sources(mails: DataFrame, footers: Broadcast, least: int) -> DataFrame:
@@ -423,8 +419,8 @@ def _hot_sources(mails: DataFrame, footers: Broadcast, least: int) -> DataFrame:
     def runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for t, b, o, m, text, sender in zip(*[batch[c] for c in ("thread", "block", "ordinal", "message_id", "text", "sender")]):
-                ws = own_words(text, sender, footers.value)
+            for t, b, o, m, text, sender, rare in zip(*[batch[c] for c in ("thread", "block", "ordinal", "message_id", "text", "sender", "rare")]):
+                ws = own_words(text, sender, with_rare(footers.value, rare))
                 for g in {" ".join(ws[i : i + least]) for i in range(len(ws) - least + 1)}:
                     h = int.from_bytes(blake2b(g.encode(), digest_size=8).digest(), "little", signed=True)
                     rows.append((t, b, h, None if pd.isna(o) else int(o), m))
@@ -433,7 +429,7 @@ def _hot_sources(mails: DataFrame, footers: Broadcast, least: int) -> DataFrame:
 
     def worded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            words = [own_words(x, s, footers.value) for x, s in zip(batch["text"], batch["sender"])]
+            words = [own_words(x, s, with_rare(footers.value, r)) for x, s, r in zip(batch["text"], batch["sender"], batch["rare"])]
             yield pd.DataFrame({"thread": batch["thread"], "block": batch["block"], "ordinal": batch["ordinal"].astype("Int64"), "message_id": batch["message_id"], "words": words})
 
     held = cut_lineage(mails.mapInPandas(runs, "thread string, block long, g long, ordinal long, message_id string"))
@@ -447,6 +443,6 @@ def _hot_sources(mails: DataFrame, footers: Broadcast, least: int) -> DataFrame:
         .distinct()
     )
     # The text is cut once for each mail that is a source, then dealt to the blocks that want it.
-    texts = mails.join(wanted.select("thread", "message_id").distinct(), ["thread", "message_id"], "left_semi").select("thread", "block", "ordinal", "message_id", "text", "sender")
+    texts = mails.join(wanted.select("thread", "message_id").distinct(), ["thread", "message_id"], "left_semi").select("thread", "block", "ordinal", "message_id", "text", "sender", "rare")
     words = texts.mapInPandas(worded, "thread string, block long, ordinal long, message_id string, words array<string>").drop("block")
     return wanted.join(words, ["thread", "message_id"]).select("thread", "block", "ordinal", "message_id", "words")
