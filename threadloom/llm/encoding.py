@@ -20,7 +20,8 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.session import cut_lineage
@@ -47,6 +48,16 @@ def encoder(path: str):  # noqa: ANN201
     return tiktoken.Encoding(os.path.basename(path), pat_str=PATTERN, mergeable_ranks=load_ranks(path), special_tokens={})
 
 
+def ship_file(spark: SparkSession, path: str) -> str:
+    """Send a vocabulary file to every executor, new ones included; its name there (see ``shipped``)."""
+    spark.sparkContext.addFile(path)
+    return os.path.basename(path)
+
+
+def shipped(name: str) -> str:
+    return SparkFiles.get(name)
+
+
 def pre_tokens(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``key, word, positions``: a row for each distinct pre-token of each text."""
 
@@ -83,8 +94,10 @@ def pre_tokens(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def encode_words(words: DataFrame, path: str) -> DataFrame:
+    name = ship_file(words.sparkSession, path)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = encoder(path)
+        enc = encoder(shipped(name))
         for batch in batches:
             batch["ids"] = enc.encode_ordinary_batch(list(batch["word"]), num_threads=1)
             yield batch

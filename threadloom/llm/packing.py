@@ -11,7 +11,6 @@ the group's size.
 
 from __future__ import annotations
 
-import math
 from collections import defaultdict
 
 import pandas as pd
@@ -85,9 +84,10 @@ def fill_containers(items: DataFrame, containers: DataFrame, group_items: int =
         "container_kind", "capacity", "doc_id", "piece_no", (F.col("piece_no") * cap).alias("start_token"),
         F.least(cap, F.col("n_tokens") - F.col("piece_no") * cap).alias("n_tokens"),
     )
-    count = pieces.where("n_tokens < capacity").groupBy("container_kind").count().agg(F.max("count")).first()[0] or 0
-    groups = max(1, math.ceil(count / group_items))
-    dealt = pieces.where("n_tokens < capacity").withColumn("part", F.pmod(F.xxhash64("doc_id", "piece_no"), F.lit(groups)))
+    # Groups of about the same number of items for every kind.
+    rest = pieces.where("n_tokens < capacity")
+    groups = rest.groupBy("container_kind").agg(F.ceil(F.count("*") / group_items).alias("groups"))
+    dealt = rest.join(groups, "container_kind").withColumn("part", F.pmod(F.xxhash64("doc_id", "piece_no"), F.col("groups"))).drop("groups")
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         kind, capacity, part = group["container_kind"].iloc[0], int(group["capacity"].iloc[0]), int(group["part"].iloc[0])
