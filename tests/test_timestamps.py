@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from threadloom.operators.instants import accounts_frame, estimate_histories, message_instants, row_instants
 
-ACCOUNTS = [("b", "mail", "Europe/Berlin", "dmy", "de"), ("n", "chat", "America/New_York", "mdy", "en"), ("k", "chat", "Asia/Kolkata", "dmy", "hi")]
+ACCOUNTS = [("b", "mail", "Europe/Berlin", "dmy", "de"), ("n", "chat", "America/New_York", "mdy", "en"), ("k", "chat", "Asia/Kolkata", "dmy", "hi"), ("i", "mail", "Europe/Dublin", "dmy", "en"), ("c", "mail", "Asia/Shanghai", "dmy", "en")]
 ROWS = "message_id string, account_id string, timestamp string, loaded_at timestamp"
 
 
@@ -47,6 +47,11 @@ CASES = [
     ("zz", "2024-01-01 10:00:00", None),  # unknown account, no zone in the text
     ("zz", "2024-01-01 10:00:00 GMT", us(2024, 1, 1, 10)),
     (None, "2024-01-01T10:00:00Z", us(2024, 1, 1, 10)),
+    ("i", "2024-07-01 10:00:00 IST", us(2024, 7, 1, 9)),  # the account's zone tells whose abbreviation it is
+    ("c", "2024-07-01 10:00:00 CST", us(2024, 7, 1, 2)),
+    ("n", "2024-01-01 10:00:00 CST", us(2024, 1, 1, 16)),
+    ("k", "2024-07-01 10:00:00 IST", us(2024, 7, 1, 4, 30)),
+    ("zz", "2024-07-01 10:00:00 IST", us(2024, 7, 1, 4, 30)),
 ]
 
 
@@ -99,3 +104,10 @@ def test_copies_empty_and_extra_columns(spark, accounts):
     assert set(got) == {"m", "c"} and got["m"]["utc_us"] == us(2024, 1, 1, 10, 0, 30) and not got["m"]["all_canonical"] and got["c"]["all_canonical"]
     assert message_instants(rows.where("false"), accounts).count() == 0
     assert message_instants(rows, accounts.where("false"), estimate=False).where("utc_us is not null").count() == 2
+
+
+def test_only_the_exact_form_is_canonical(spark, accounts):
+    texts = ["2024-01-01T10:00:00Z", "2024-01-01T10:00:00Z\n", " 2024-01-01T10:00:00Z", "2024-01-01t10:00:00z", "2024-01-01T10:00:00.0Z"]
+    rows = spark.createDataFrame([(str(i), "b", t, None) for i, t in enumerate(texts)], ROWS)
+    got = {r["message_id"]: (r["utc_us"], r["all_canonical"]) for r in message_instants(rows, accounts, estimate=False).collect()}
+    assert got == {str(i): (us(2024, 1, 1, 10), i == 0) for i in range(len(texts))}

@@ -31,8 +31,7 @@ MONTHS = {
     11: "november nov novembre noviembre novembro",
     12: "december dec dezember dez décembre déc decembre diciembre dic dicembre dezembro",
 }
-# Zone abbreviations in mail and log timestamps, offset in minutes.  Where one is used in
-# several countries, the account's own zone decides (see ``ambiguous``) before this table does.
+# Zone abbreviations in mail and log timestamps, offset in minutes.
 ABBREVIATIONS = {
     "z": 0, "utc": 0, "gmt": 0, "ut": 0, "wet": 0, "west": 60, "bst": 60, "cet": 60, "mez": 60,
     "cest": 120, "mesz": 120, "eet": 120, "eest": 180, "msk": 180, "ist": 330, "jst": 540, "acst": 570,
@@ -41,6 +40,12 @@ ABBREVIATIONS = {
     "mdt": -360, "pst": -480, "pdt": -420, "akst": -540, "akdt": -480, "hst": -600, "hkt": 480, "sgt": 480,
 }
 
+# Abbreviations of several countries' times.  Where the account's zone has one of these offsets at the
+# time in question, that one is meant, else the one above.
+SHARED_ABBREVIATIONS = {
+    "ist": [330, 60, 120], "bst": [60, 360], "cst": [-360, 480], "est": [-300, 600], "edt": [-240, 660], "ast": [-240, 180], "amt": [-240, 240], "ect": [-300, 60],
+}
+
 _TIME = r"(\d{1,2})[:.](\d{2})(?:[:.](\d{2})(?:[.,](\d+))?)?"
 _AP = r"\s*(?:([ap])\.?\s?m\.?)?"
 _ZONE = (
@@ -176,9 +181,14 @@ def stated_offset(zone: Column) -> Column:
     return F.when(F.size(m) == 3, F.when(m[0] == "-", -size).otherwise(size)).cast("long")
 
 
-def abbreviation_offset(zone: Column) -> Column:
+def abbreviation_offset(zone: Column, own: Column | None = None) -> Column:
+    """Offset in seconds of an abbreviation; ``own``, the offset of the account's zone then, decides between countries."""
     table = F.create_map(*[F.lit(x) for k, v in ABBREVIATIONS.items() for x in (k, v * 60)])
-    return F.try_element_at(table, F.lower(zone)).cast("long")
+    usual = F.try_element_at(table, F.lower(zone)).cast("long")
+    if own is None:
+        return usual
+    shared = F.create_map(*[x for k, v in SHARED_ABBREVIATIONS.items() for x in (F.lit(k), F.array(*[F.lit(o * 60).cast("long") for o in v]))])
+    return F.when(F.array_contains(F.try_element_at(shared, F.lower(zone)), own), own).otherwise(usual)
 
 
 def instant_us(p: Column, zone: Column, order: Column) -> Column:
@@ -193,7 +203,9 @@ def instant_us(p: Column, zone: Column, order: Column) -> Column:
 
 def _utc_seconds(p: Column, wall: Column, zone: Column) -> Column:
     named = known_zone(p["zone"])
-    offset = F.coalesce(stated_offset(p["zone"]), abbreviation_offset(p["zone"]))
+    several = F.lower(p["zone"]).isin(*SHARED_ABBREVIATIONS)
+    own = F.when(several, ntz_seconds(wall) - to_utc_seconds(wall, zone))
+    offset = F.coalesce(stated_offset(p["zone"]), abbreviation_offset(p["zone"], own))
     bare = p["zone"].isNull() | (F.lower(p["zone"]) == "local")
     return (
         F.when(bare, to_utc_seconds(wall, zone))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadloom.functions import timestamps as T
-from threadloom.session import cut_lineage
+from threadloom.session import cut_lineage, small
 
 # One zone for each widespread offset history, the candidates beside the declared zones.
 CANDIDATE_ZONES = [
@@ -26,7 +26,7 @@ CANDIDATE_ZONES = [
     "America/Halifax", "America/New_York", "America/Chicago", "America/Denver", "America/Phoenix", "America/Los_Angeles",
     "America/Anchorage", "Pacific/Honolulu", "America/Mexico_City", "America/Bogota",
 ]
-CANONICAL = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$"
+CANONICAL = r"\A\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z\z"  # "$" would let a line end pass
 
 
 def accounts_frame(accounts: DataFrame) -> DataFrame:
@@ -80,7 +80,7 @@ def estimate_histories(parsed: DataFrame, accounts: DataFrame, margin: float = 0
     cost = F.col("n_violations") + F.when(fits_zone & fits_order, 0.0).otherwise(F.col("n_rows") * F.lit(margin))
     best = Window.partitionBy("account_id").orderBy(F.col("cost"), F.col("zone"), F.col("o"))
     return (
-        scored.join(F.broadcast(declared), "account_id", "left")
+        scored.join(declared, "account_id", "left")
         .withColumn("cost", cost)
         .withColumn("k", F.row_number().over(best))
         .where("k = 1")
@@ -99,14 +99,14 @@ def row_instants(messages: DataFrame, accounts: DataFrame, estimate: bool = True
     if estimate:
         parsed = cut_lineage(parsed)  # read twice; parsing costs more than the file
         found = estimate_histories(parsed.select("account_id", "loaded_at", F.col("__p").alias("p")), known)
-        used = (
+        used = cut_lineage(
             known.join(found.select("account_id", F.col("zone").alias("z"), F.col("date_order").alias("o")), "account_id", "full")
             .select("account_id", F.coalesce("z", "zone").alias("__zone"), F.coalesce("o", "date_order").alias("__order"))
         )
     else:
         used = known.select("account_id", F.col("zone").alias("__zone"), F.col("date_order").alias("__order"))
     return (
-        parsed.join(F.broadcast(used), "account_id", "left")  # accounts are mailboxes and exports, a table of fixed size
+        parsed.join(small(used), "account_id", "left")  # accounts are mailboxes and exports, few beside their messages
         .withColumn("utc_us", T.instant_us(F.col("__p"), F.col("__zone"), F.coalesce(F.col("__order"), F.lit("dmy"))))
         .withColumn("is_canonical", F.coalesce(F.col("timestamp").rlike(CANONICAL), F.lit(False)))
         .drop("__p", "__zone", "__order")

@@ -7,6 +7,7 @@ import tempfile
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def get_spark(app: str = "threadloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -49,6 +50,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def small(df: DataFrame, most: int = 100_000) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``most`` rows, counted; else as it is, for a shuffled join."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per application, so that it need not be installed there.
 
