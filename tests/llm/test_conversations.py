@@ -11,12 +11,12 @@ def m(i, c, o, t, s, text="hello", name=None, **meta):
     return (i, c, "chat", "acc", o, t, s, text, {"raw_speaker_name": name, **meta} if name or meta else None, datetime(2024, 1, 1))
 
 
-def run(spark, rows, heads, recover=True):
+def run(spark, rows, heads, recover=True, **more):
     messages = spark.createDataFrame(rows, MSG)
     headers = spark.createDataFrame([(c, "chat", "acc", (n,)) for c, n in heads], "conversation_id string, source string, account_id string, metadata struct<total_messages:int>")
     accounts = spark.createDataFrame([("acc", "chat", "UTC", "dmy", "en")], "account_id string, source string, zone string, date_order string, locale string")
     agents = spark.createDataFrame(AGENTS, "agent_id long, agent_name string, mail_address string")
-    return C.rebuild(messages, headers, accounts, agents, recover)
+    return C.rebuild(messages, headers, accounts, agents, recover, **more)
 
 
 def test_validation(spark):
@@ -74,3 +74,32 @@ def test_lines_quoted_often_link_and_components_without_ids_are_conversations(sp
     rows += [m("b0", None, 0, None, None, text=boiler), m("b1", "b", 1, None, None, text=boiler), m("b2", "c", 1, None, None, text=boiler)]
     got = {tuple(r) for r in C.recover_ids(spark.createDataFrame(rows, MSG)).collect()}
     assert got == {("q0", "a"), ("k0", "k0"), ("k1", "k0"), ("k2", "k0")}
+
+
+def test_long_conversations_are_numbered_by_ranges_alike(spark):
+    r = random.Random(2)
+    rows = [m(f"l{i:04d}", "long", r.choice([i, None]), f"2024-01-01T1{r.randrange(10)}:{r.randrange(60):02d}:00Z", r.choice(["user", "assistant"])) for i in range(700)]
+    rows += [m(f"s{i}", "short", i, f"2024-01-01T10:00:0{i}Z", "user" if i % 2 else "assistant") for i in range(6)]
+    heads = [("long", None), ("short", None)]
+    one, many = ({tuple(x) for x in run(spark, rows, heads, split=n).collect()} for n in (1000, 50))
+    assert one == many and len(one) == 706 and sorted(x[1] for x in many if x[0] == "long") == list(range(700))
+
+
+def test_planted_losses_come_back(spark):
+    """Of whole conversations single messages lose their id; replies, quotes and lines in many messages bring them back."""
+    r = random.Random(6)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
+    rows, lost = [], {}
+    for c in range(12):
+        first = " ".join(word() for _ in range(14))
+        for k in range(8):
+            own = " ".join(word() for _ in range(14))
+            text = first if k == 0 else f"{own}\n> {first}"
+            meta = {"email_message_id": f"<{c}.{k}>"} | ({"in_reply_to": f"<{c}.{k - 1}>"} if k else {})
+            gone = k in (c % 8, (c + 3) % 8)
+            if gone:
+                lost[f"{c}-{k}"] = f"c{c}"
+            rows.append(m(f"{c}-{k}", None if gone else f"c{c}", k, f"2024-01-01T10:00:0{k}Z", "assistant" if k % 2 else "user", text=text, **meta))
+    assert dict(tuple(x) for x in C.recover_ids(spark.createDataFrame(rows, MSG)).collect()) == lost
+    got = run(spark, rows, [(f"c{c}", 8) for c in range(12)])
+    assert got.count() == 96 and run(spark, rows, [(f"c{c}", 8) for c in range(12)], recover=False).count() == 0

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadloom.operators.instants import message_instants
-from threadloom.session import cut_lineage
+from threadloom.session import cut_lineage, small
 
 # Spellings of the roles, lower case without outer blanks.
 ROLE_WORDS = {
@@ -43,38 +43,37 @@ def small_star(edges: DataFrame) -> DataFrame:
     )
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """``node, component`` (the smallest node of the component) for every node of an edge ``u, v`` (strings).
 
-    Alternates both stars until every node points straight at its component; a round shortens all paths by half
-    at least.  Self links and repeated links are allowed, null ends are ignored; an empty table gives an empty
-    result.  Rounds are cut by checkpoints; no task or driver gets a whole component.
+    Alternates both stars until a round changes nothing, that is until every node points straight at its component;
+    their number grows with the logarithm of the longest path.  Self links and repeated links are allowed, null ends
+    are ignored; an empty table gives an empty result.  Rounds are cut by checkpoints; no task or driver gets a whole
+    component.
     """
     nodes = edges.where("u is not null and v is not null").select(F.col("u").cast("string").alias("u"), F.col("v").cast("string").alias("v"))
     nodes = cut_lineage(nodes.distinct())
     now = nodes.where("u <> v")
-    if now.isEmpty():
-        max_rounds = 0
-    state = None
-    for _ in range(max_rounds):
+    state, changed = None, not now.isEmpty()
+    while changed:
         now = cut_lineage(small_star(large_star(now)))
         signature = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if signature == state:
-            break
-        state = signature
+        changed, state = signature != state, signature
     roots = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     everyone = nodes.select(F.col("u").alias("node")).union(nodes.select(F.col("v").alias("node"))).distinct()
     return everyone.join(roots, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
 
 
-def message_ids(messages: DataFrame) -> DataFrame:
-    """What the links need of each distinct message, without its text; read several times, so materialised."""
+def distinct_messages(messages: DataFrame) -> DataFrame:
+    """What is needed of each distinct message, without its text; read several times, so materialised."""
     meta = F.col("metadata")
+    blank = F.coalesce(F.regexp_replace("text", r"[\s\u00a0\u200b\ufeff]+", ""), F.lit("")) == ""
     return cut_lineage(
         messages.where("message_id is not null")
         .groupBy("message_id")
         .agg(
-            F.first("conversation_id", True).alias("conversation_id"), F.first("account_id", True).alias("account_id"), F.min("ordinal").alias("ordinal"),
+            F.first("conversation_id", True).alias("conversation_id"), F.min("ordinal").alias("ordinal"), F.first("speaker", True).alias("speaker"),
+            F.first(meta["raw_speaker_name"], True).alias("raw_speaker_name"), F.max(~blank).alias("has_text"),
             F.first(meta["in_reply_to"], True).alias("in_reply_to"), F.first(F.when(meta["email_message_id"] != "", meta["email_message_id"]), True).alias("mail_id"),
         )
     )
@@ -108,13 +107,15 @@ def quote_links(messages: DataFrame, ids: DataFrame, min_words: int = 12) -> Dat
     return by_line.union(reply.join(names, "mail_id").select("u", "v")).distinct()
 
 
-def recover_ids(messages: DataFrame) -> DataFrame:
+def recover_ids(messages: DataFrame, ids: DataFrame | None = None) -> DataFrame:
     """``message_id, conversation_id`` of the messages whose missing id their component settles.
 
     A message's ``ordinal`` is its place in the source file of its conversation, so it can only belong where that
-    place is still free.
+    place is still free.  ``ids``: the ``distinct_messages`` where they are at hand.
     """
-    ids = message_ids(messages)
+    ids = distinct_messages(messages) if ids is None else ids
+    if ids.where("conversation_id is null").isEmpty():
+        return ids.where("false").select("message_id", "conversation_id")
     parts = cut_lineage(connected_components(quote_links(messages, ids)))
     joined = parts.join(ids.select(F.col("message_id").alias("node"), "conversation_id", "ordinal"), "node")
     settled = joined.groupBy("component").agg(
@@ -153,8 +154,8 @@ def with_roles(messages: DataFrame, agents: DataFrame) -> DataFrame:
     return (
         messages.withColumn("__name", _name_key(raw))
         .withColumn("__mail", _address(raw))
-        .join(F.broadcast(names), "__name", "left")  # the staff list, a table of fixed size
-        .join(F.broadcast(mails), "__mail", "left")
+        .join(small(names), "__name", "left")
+        .join(small(mails), "__mail", "left")
         .withColumn(
             "role",
             F.coalesce(
@@ -166,29 +167,39 @@ def with_roles(messages: DataFrame, agents: DataFrame) -> DataFrame:
     )
 
 
-def rebuild(messages: DataFrame, headers: DataFrame, accounts: DataFrame, agents: DataFrame, recover: bool = True) -> DataFrame:
+def numbered(turns: DataFrame, sizes: DataFrame, split: int) -> DataFrame:
+    """``turns`` with ``turn_no`` from 0 in the order of instant, ``ordinal`` and id.
+
+    ``sizes``: ``conversation_id, n``.  Conversations of more than ``split`` turns are sorted by ranges, each range
+    numbered on its own and moved by the number of turns before it; so no task gets a whole one.
+    """
+    place = ["utc_us", F.coalesce("ordinal", F.lit(2**62)), "message_id"]
+    long = cut_lineage(sizes.where(F.col("n") > split).select("conversation_id"))
+    of = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(*place)) - 1
+    if long.isEmpty():
+        return turns.withColumn("turn_no", of("conversation_id"))
+    short = turns.join(long, "conversation_id", "left_anti").withColumn("turn_no", of("conversation_id"))
+    ranged = turns.join(long, "conversation_id", "left_semi").repartitionByRange("conversation_id", *place).withColumn("__part", F.spark_partition_id())
+    ranged = cut_lineage(ranged)  # the ranges must not be drawn twice
+    counts = ranged.groupBy("conversation_id", "__part").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("conversation_id").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranged = ranged.join(counts.select("conversation_id", "__part", before.alias("__before")), ["conversation_id", "__part"])
+    ranged = ranged.withColumn("turn_no", (of("conversation_id", "__part") + F.col("__before")).cast("int"))
+    return short.unionByName(ranged.drop("__part", "__before"))
+
+
+def rebuild(messages: DataFrame, headers: DataFrame, accounts: DataFrame, agents: DataFrame, recover: bool = True, split: int = 1_000_000) -> DataFrame:
     """The turns of the conversations kept: ``conversation_id, turn_no, message_id, role, utc_us``.
 
     Kept: with a header; the number of distinct messages equals ``total_messages`` unless that is null; every
     message has an instant and a role; an assistant turn follows a user turn.  Turns are the messages whose text
     is not blank, by instant, ``ordinal`` and id.  Of repeated header rows one is used (the largest
     ``total_messages``).  Null ids are recovered from links or left out; other columns are ignored.
-
-    The order of a conversation is its only sequential part, on four narrow columns of fixed size; a
-    conversation of any length is sorted with spilling, and nothing is collected.
     """
-    blank = F.coalesce(F.regexp_replace("text", r"[\s ​﻿]+", ""), F.lit("")) == ""
-    distinct = (
-        messages.where("message_id is not null")
-        .groupBy("message_id")
-        .agg(
-            F.first("conversation_id", True).alias("conversation_id"), F.min("ordinal").alias("ordinal"), F.first("speaker", True).alias("speaker"),
-            F.first(F.col("metadata")["raw_speaker_name"], True).alias("raw_speaker_name"), F.max(~blank).alias("has_text"),
-        )
-    )
-    timed = distinct.join(message_instants(messages, accounts).select("message_id", "utc_us"), "message_id", "left")
+    distinct = distinct_messages(messages)
+    timed = distinct.drop("in_reply_to", "mail_id").join(message_instants(messages, accounts).select("message_id", "utc_us"), "message_id", "left")
     if recover:
-        found = cut_lineage(recover_ids(messages))
+        found = cut_lineage(recover_ids(messages, distinct))
         timed = timed.join(found.withColumnRenamed("conversation_id", "__id"), "message_id", "left").withColumn("conversation_id", F.coalesce("conversation_id", "__id")).drop("__id")
     rows = cut_lineage(with_roles(timed.where("conversation_id is not null"), agents).select("conversation_id", "message_id", "ordinal", "has_text", "role", "utc_us"))
     turn = F.when(F.col("has_text"), F.struct("utc_us", F.coalesce("ordinal", F.lit(2**62)), "message_id"))
@@ -202,10 +213,6 @@ def rebuild(messages: DataFrame, headers: DataFrame, accounts: DataFrame, agents
     kept = whole.join(head, "conversation_id").where(
         F.col("sound") & (F.col("total").isNull() | (F.col("total") == F.col("n"))) & (F.col("last_assistant") > F.col("first_user"))
     )
-    order = Window.partitionBy("conversation_id").orderBy("utc_us", F.coalesce("ordinal", F.lit(2**62)), "message_id")
-    return (
-        rows.where("has_text")
-        .join(kept.select("conversation_id"), "conversation_id", "left_semi")
-        .withColumn("turn_no", F.row_number().over(order) - 1)
-        .select("conversation_id", "turn_no", "message_id", "role", "utc_us")
-    )
+    kept = cut_lineage(kept.select("conversation_id", "n"))
+    turns = rows.where("has_text").join(kept.select("conversation_id"), "conversation_id", "left_semi")
+    return numbered(turns, kept, split).select("conversation_id", "turn_no", "message_id", "role", "utc_us")
