@@ -95,9 +95,11 @@ def quote_links(messages: DataFrame, ids: DataFrame, min_words: int = 12) -> Dat
     keyed = lines.where(F.length("line") > 2 * min_words).select("message_id", "conversation_id", F.xxhash64("account_id", norm).alias("h"), norm.alias("line"))
     keyed = keyed.where(F.size(F.split("line", " ")) >= min_words)
     sought = cut_lineage(keyed.where("conversation_id is null").select("h").distinct())
-    keyed = keyed.join(sought, "h", "left_semi")
-    keyed = keyed.groupBy("h", "line", "message_id").agg(
-        F.min("conversation_id").alias("least"), F.max("conversation_id").alias("most"), F.bool_or(F.col("conversation_id").isNull()).alias("lost")
+    keyed = keyed.join(small(sought), "h", "left_semi")
+    keyed = cut_lineage(
+        keyed.groupBy("h", "line", "message_id").agg(
+            F.min("conversation_id").alias("least"), F.max("conversation_id").alias("most"), F.bool_or(F.col("conversation_id").isNull()).alias("lost")
+        )
     )
     held = keyed.groupBy("h", "line").agg(F.min("message_id").alias("v"), F.bool_or("lost").alias("any_lost"), F.min("least").alias("least"), F.max("most").alias("most"))
     held = held.where("any_lost and (least is null or least = most)").select("h", "line", "v")
