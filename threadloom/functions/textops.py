@@ -50,6 +50,16 @@ ROMANISED = {
 }
 ENGLISH = "the and was were have has had been would could should with from that this they them their there about which will some told asked said because before after while office unprofessional mobile games against such things didn doesn don can help need want know think please thanks thank sorry okay hello work send sent".split()
 NO_LANGUAGE, ENGLISH_LABEL = "no lang found - No Language Found", "en - English"
+ISSUES = [
+    (["billing", "charge"], "Customer raised billing inquiry regarding incorrect/double charge."),
+    (["order", "track"], "Customer requested order status or shipping details update."),
+    ([], "Customer query/inquiry regarding services."),
+]
+RESOLUTIONS = [
+    ("execute_action", "Agent executed customer request successfully."),
+    ("request_details", "Agent requested details to verify identity/account."),
+    (None, "Agent provided assistance."),
+]
 LINE_END = "\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 # ---------------------------------------------------------------------------------------------------
 

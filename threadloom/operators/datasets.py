@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,16 +55,11 @@ def summaries(annotated: DataFrame) -> DataFrame:
     """``conversation_id, issue, resolution`` from words anywhere in the conversation and from its labels."""
     low = F.lower(F.coalesce("text", F.lit("")))
     has = lambda *w: F.bool_or(T.any_of(low, list(w)))
-    issue = (
-        F.when(has("billing", "charge"), "Customer raised billing inquiry regarding incorrect/double charge.")
-        .when(has("order", "track"), "Customer requested order status or shipping details update.")
-        .otherwise("Customer query/inquiry regarding services.")
-    )
-    resolution = (
-        F.when(F.bool_or(F.col("label") == "execute_action"), "Agent executed customer request successfully.")
-        .when(F.bool_or(F.col("label") == "request_details"), "Agent requested details to verify identity/account.")
-        .otherwise("Agent provided assistance.")
-    )
+    issue = resolution = None
+    for words, told in reversed(T.ISSUES):
+        issue = F.lit(told) if issue is None else F.when(has(*words), told).otherwise(issue)
+    for label, told in reversed(T.RESOLUTIONS):
+        resolution = F.lit(told) if resolution is None else F.when(F.bool_or(F.col("label") == label), told).otherwise(resolution)
     return annotated.groupBy("conversation_id").agg(issue.alias("issue"), resolution.alias("resolution"))
 
 
@@ -71,6 +70,66 @@ def incomplete(messages: DataFrame, annotated: DataFrame) -> DataFrame:
     return want.join(have, "conversation_id", "left").where(F.coalesce("have", F.lit(0)) < F.col("want")).select("conversation_id", "want", F.coalesce("have", F.lit(0)).alias("have"))
 
 
+def incomplete_outputs(messages: DataFrame, intents: DataFrame, sentiments: DataFrame, summaries: DataFrame, languages: DataFrame) -> DataFrame:
+    """``conversation_id`` of the conversations that an incremental run has to annotate.
+
+    Complete is what is in all four outputs, with as many intents, sentiments and message languages as messages.
+    ``languages``: a row for each message, like the first two; ``summaries`` one for each conversation.
+    """
+    out = messages.where("conversation_id is not null").groupBy("conversation_id").agg(F.count("*").alias("want"))
+    for k, x in enumerate((intents, sentiments, languages)):
+        out = out.join(x.groupBy("conversation_id").agg(F.count("*").alias(f"n{k}")), "conversation_id", "left")
+    out = out.join(summaries.select("conversation_id", F.lit(True).alias("told")).distinct(), "conversation_id", "left")
+    done = F.col("told") & (F.col("n0") == F.col("want")) & (F.col("n1") == F.col("want")) & (F.col("n2") == F.col("want"))
+    return out.where(~F.coalesce(done, F.lit(False))).select("conversation_id")
+
+
+def coverage(ids: DataFrame, **outputs: DataFrame) -> DataFrame:
+    """``output, missing, total``: of the wanted ``conversation_id`` those that each output lacks."""
+    want = ids.where("conversation_id is not null").select("conversation_id").distinct()
+    rows = None
+    for name, x in outputs.items():
+        have = x.select("conversation_id").distinct().withColumn("has", F.lit(1))
+        one = want.join(have, "conversation_id", "left").agg(F.lit(name).alias("output"), F.count(F.when(F.col("has").isNull(), 1)).alias("missing"), F.count("*").alias("total"))
+        rows = one if rows is None else rows.unionByName(one)
+    return rows
+
+
+def message_languages(messages: DataFrame, annotations: DataFrame, default: str = T.ENGLISH_LABEL) -> DataFrame:
+    """``message_id, languages`` of every message; those without annotation (or with an empty one) have the default."""
+    found = annotations.select(F.explode("detected_languages").alias("d")).select("d.message_id", "d.languages").where("message_id is not null")
+    found = found.groupBy("message_id").agg(F.max("languages").alias("languages"))
+    own = F.when(F.size("languages") > 0, F.col("languages")).otherwise(F.array(F.lit(default)))
+    return messages.select("message_id").join(found, "message_id", "left").select("message_id", own.alias("languages"))
+
+
+def review_status(conversations: DataFrame, approved: DataFrame, annotations: DataFrame, allowed: tuple[str, ...] = DEFAULT_LANGUAGES) -> DataFrame:
+    """``conversation_id, status, flags``: approved, else flagged for labels that are not allowed, else pending."""
+    bad = F.array_except("languages", F.array(*[F.lit(a) for a in allowed]))
+    flags = conversation_languages(annotations).select("conversation_id", bad.alias("flags"))
+    yes = approved.select("conversation_id").distinct().withColumn("yes", F.lit(True))
+    rows = conversations.select("conversation_id").distinct().join(flags, "conversation_id", "left").join(yes, "conversation_id", "left")
+    none = F.array().cast("array<string>")
+    status = F.when(F.col("yes"), "approved").when(F.size("flags") > 0, "flagged").otherwise("pending")
+    return rows.select("conversation_id", status.alias("status"), F.coalesce("flags", none).alias("flags"))
+
+
+def shares(rows: DataFrame, key: str, names: list[str]) -> DataFrame:
+    """``key, n, percent`` of the given values; equal parts where there are no rows at all."""
+    spark = rows.sparkSession
+    every = spark.createDataFrame([(x,) for x in names], f"{key} string")
+    n = every.join(rows.groupBy(key).agg(F.count("*").alias("n")), key, "left").select(key, F.coalesce("n", F.lit(0)).alias("n"))
+    total = n.agg(F.sum("n").alias("total"))  # one row
+    percent = F.when(F.col("total") > 0, 100.0 * F.col("n") / F.col("total")).otherwise(100.0 / len(names))
+    return n.crossJoin(F.broadcast(total)).select(key, "n", percent.alias("percent"))
+
+
+def prompt_lines(messages: DataFrame) -> DataFrame:
+    """``conversation_id, ts, ordinal, message_id, line``: every message as a model reads it."""
+    line = F.concat(F.lit("["), F.coalesce("message_id", F.lit("")), F.lit("] "), F.upper(F.coalesce("speaker", F.lit("user"))), F.lit(": "), F.coalesce("text", F.lit("")))
+    return messages.select("conversation_id", "ts", "ordinal", "message_id", line.alias("line"))
+
+
 def chat_examples(messages: DataFrame, system_prompt: str | None = None) -> DataFrame:
     """``conversation_id, messages ARRAY<STRUCT<role, content>>``; unknown roles are users, empty conversations absent."""
     role = F.when(F.col("speaker").isin("user", "assistant", "system"), F.col("speaker")).otherwise("user")
@@ -111,11 +170,12 @@ def segments(messages: DataFrame, size: int = 4, overlap: int = 2) -> DataFrame:
         raise ValueError("size must exceed overlap")
     step = size - overlap
     w = Window.partitionBy("conversation_id").orderBy("ts", "ordinal", "message_id")
-    turns = messages.where("conversation_id is not null").withColumn("turn", (F.row_number().over(w) - 1).cast("long"))
+    keys = messages.where("conversation_id is not null").select("conversation_id", "ts", "ordinal", "message_id")  # texts stay out of the sort
+    turns = keys.withColumn("turn", (F.row_number().over(w) - 1).cast("long")).select("message_id", "turn").join(messages, "message_id")
     first = F.greatest(F.lit(0), F.ceil((F.col("turn") - size + 1) / step)).cast("long")
     placed = turns.withColumn("chunk", F.explode(F.sequence(first, F.floor(F.col("turn") / step)))).where(F.col("turn") - F.col("chunk") * step < size)
     speaker = F.coalesce("speaker", F.lit("user"))
-    line = F.concat(F.upper(F.substring(speaker, 1, 1)), F.lower(F.substring(speaker, 2, 1000)), F.lit(": "), F.coalesce("text", F.lit("")))
+    line = F.concat(F.upper(F.substring(speaker, 1, 1)), F.lower(F.substr(speaker, F.lit(2))), F.lit(": "), F.coalesce("text", F.lit("")))
     held = F.array_sort(F.collect_list(F.struct("turn", "message_id", line.alias("line"))))
     return (
         placed.groupBy("conversation_id", "chunk")
@@ -138,10 +198,48 @@ def knowledge_facts(messages: DataFrame) -> DataFrame:
 
 
 def translation_hash(messages: DataFrame) -> DataFrame:
-    """``conversation_id, text_hash``: SHA-256 of the texts in order, joined by ``|``; sink-sized rows."""
-    item = F.struct("ts", "ordinal", "message_id", F.coalesce("text", F.lit("")).alias("text"))
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["text"]), "|")
-    return messages.where("conversation_id is not null").groupBy("conversation_id").agg(F.sha2(joined, 256).alias("text_hash"))
+    """``conversation_id, text_hash``: SHA-256 of the texts in order, joined by ``|``; null texts are empty.
+
+    The texts of a conversation stream through one hash, so none of them is held whole.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, h = None, None
+        for batch in batches:
+            done = []
+            for c, text in zip(batch["conversation_id"], batch["text"]):
+                if c != key:
+                    if h is not None:
+                        done.append((key, h.hexdigest()))
+                    key, h = c, hashlib.sha256()
+                else:
+                    h.update(b"|")
+                h.update(text.encode("utf-8"))
+            yield pd.DataFrame(done, columns=["conversation_id", "text_hash"], dtype=str)
+        if h is not None:
+            yield pd.DataFrame([(key, h.hexdigest())], columns=["conversation_id", "text_hash"])
+
+    rows = messages.where("conversation_id is not null").select("conversation_id", "ts", "ordinal", "message_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.repartition("conversation_id").sortWithinPartitions("conversation_id", "ts", "ordinal", "message_id")
+    return rows.mapInPandas(run, "conversation_id string, text_hash string")
+
+
+def regional(messages: DataFrame, languages: DataFrame) -> DataFrame:
+    """Messages with a label other than English (``languages``: ``message_id, languages``)."""
+    foreign = languages.where(F.exists("languages", lambda x: x != T.ENGLISH_LABEL)).select("message_id").distinct()
+    return messages.join(foreign, "message_id", "left_semi")
+
+
+def apply_texts(messages: DataFrame, new: DataFrame) -> DataFrame:
+    """``messages`` with the texts of ``new`` (``message_id, text``; blank or null ones change nothing)."""
+    told = new.where("text is not null and text <> ''").groupBy("message_id").agg(F.max("text").alias("__new"))
+    return messages.join(told, "message_id", "left").withColumn("text", F.coalesce("__new", "text")).drop("__new")
+
+
+def renewed_ledger(ledger: DataFrame, hashes: DataFrame) -> DataFrame:
+    """The ledger with the new hashes in place of the old ones of the same conversations."""
+    kept = ledger.select("conversation_id", "text_hash").join(hashes.select("conversation_id"), "conversation_id", "left_anti")
+    return kept.unionByName(hashes.select("conversation_id", "text_hash"))
 
 
 def changed(hashes: DataFrame, ledger: DataFrame) -> DataFrame:

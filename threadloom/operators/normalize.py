@@ -67,6 +67,11 @@ def normalize_chat(parsed: DataFrame, now: Column, agents: list[str] = ()) -> Da
     return last_wins(rows)
 
 
+def unified(messages: DataFrame) -> DataFrame:
+    """The four fields (and the key) that unified conversations carry, without the metadata of the sources."""
+    return messages.select("conversation_id", "message_id", "timestamp", "speaker", "text")
+
+
 def last_wins(rows: DataFrame) -> DataFrame:
     cols = [c for c in rows.columns if c not in ("message_id", "metadata")]
     entries = F.map_entries("metadata").alias("metadata")

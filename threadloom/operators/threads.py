@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadloom.functions import textops as T
+from threadloom.session import cut_lineage
 
 ORDER = ("ts", "ordinal", "message_id")
 
@@ -54,6 +55,23 @@ def session_totals(sessions: DataFrame, entity: str) -> DataFrame:
     return sessions.groupBy(entity).agg((F.max("session_index") + 1).alias("total_sessions"))
 
 
+def session_headers(sessions: DataFrame) -> DataFrame:
+    """One row per session: ids, source, index, number of sessions of the original conversation, start, end, messages.
+
+    ``sessions``: messages with ``conversation_id`` (of the session), ``original_conversation_id`` and ``session_index``.
+    """
+    each = sessions.groupBy("original_conversation_id", "conversation_id", "session_index").agg(
+        F.min(F.struct(*ORDER, "source"))["source"].alias("source"), F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts"), F.count("*").alias("total_messages")
+    )
+    total = each.groupBy("original_conversation_id").agg((F.max("session_index") + 1).alias("total_sessions"))
+    return each.join(total, "original_conversation_id")
+
+
+def empty_headers(conversations: DataFrame, messages: DataFrame) -> DataFrame:
+    """Conversations without any message, passed on under their own id; null ids are none."""
+    return conversations.where("conversation_id is not null").join(messages.select("conversation_id").distinct(), "conversation_id", "left_anti")
+
+
 def order_violations(rows: DataFrame, entity: str, order: str, ts: str) -> DataFrame:
     """Rows whose time precedes the last valid time before them; null times neither count nor advance."""
     w = Window.partitionBy(entity).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
@@ -63,7 +81,7 @@ def order_violations(rows: DataFrame, entity: str, order: str, ts: str) -> DataF
 def streaks(messages: DataFrame, longest: int = 3, valid: tuple[str, ...] = ("user", "assistant")) -> DataFrame:
     """Every message beyond the ``longest`` in a row by one speaker; messages of other speakers are passed over."""
     w = Window.partitionBy("conversation_id").orderBy(*ORDER)
-    rows = messages.where(F.col("speaker").isin(*valid))
+    rows = messages.where(F.col("speaker").isin(*valid)).select("conversation_id", *ORDER, "speaker")  # texts stay out of the sort
     rows = rows.withColumn("change", F.when(F.col("speaker") == F.lag("speaker").over(w), 0).otherwise(1))
     rows = rows.withColumn("island", F.sum("change").over(w))
     inside = Window.partitionBy("conversation_id", "island").orderBy(*ORDER)
@@ -80,10 +98,10 @@ def violations(messages: DataFrame) -> DataFrame:
             F.when(F.col("ts").isNull(), F.struct(F.lit("timestamp").alias("rule"), F.lit("error").alias("severity"))),
             F.when(F.col("ts") < F.col("previous"), F.struct(F.lit("order").alias("rule"), F.lit("error").alias("severity"))),
             F.when(~F.coalesce(F.col("speaker").isin("user", "assistant"), F.lit(False)), F.struct(F.lit("speaker").alias("rule"), F.lit("error").alias("severity"))),
-            F.when(blank, F.struct(F.lit("text").alias("rule"), F.lit("error").alias("severity"))),
+            F.when(F.col("blank"), F.struct(F.lit("text").alias("rule"), F.lit("error").alias("severity"))),
         )
     )
-    timed = messages.withColumn("previous", F.last("ts", ignorenulls=True).over(w))
+    timed = messages.select("conversation_id", "message_id", "ordinal", "ts", "speaker", blank.alias("blank")).withColumn("previous", F.last("ts", ignorenulls=True).over(w))
     rows = timed.select("conversation_id", "message_id", F.explode(rules).alias("r")).select("conversation_id", "message_id", "r.*")
     warned = streaks(messages).select("conversation_id", "message_id", F.lit("streak").alias("rule"), F.lit("warning").alias("severity"))
     return rows.unionByName(warned)
@@ -99,14 +117,62 @@ def validation_report(messages: DataFrame) -> DataFrame:
 
 
 def clean(messages: DataFrame, drop_duplicates: bool = True) -> DataFrame:
-    """Without auto-replies, one-word replies, emptied texts and repetitions by the same speaker; signatures stripped."""
+    """Without auto-replies, one-word replies, emptied texts and repetitions by the same speaker; signatures stripped.
+
+    Message ids are unique; null texts count as empty.
+    """
     text = F.coalesce("text", F.lit(""))
     kept = messages.where(~T.is_autoreply(text)).withColumn("text", T.strip_signatures(text)).where(~T.is_low_quality(F.col("text")) & (F.col("text") != ""))
     if not drop_duplicates:
         return kept
+    # Texts are compared by digest, so that the sort moves narrow rows only, and only dropped rows are joined back.
+    kept = cut_lineage(kept)
+    told = kept.select("conversation_id", *ORDER, F.md5("text").alias("digest"), "speaker")
     w = Window.partitionBy("conversation_id").orderBy(*ORDER)
-    same = F.lag(F.struct("speaker", "text")).over(w).eqNullSafe(F.struct("speaker", "text"))
-    return kept.withColumn("same", same).where("not same").drop("same")
+    same = F.lag(F.struct("speaker", "digest")).over(w).eqNullSafe(F.struct("speaker", "digest"))
+    repeated = told.withColumn("same", same).where("same").select("message_id")
+    return kept.join(repeated, "message_id", "left_anti")
+
+
+def cleaned_headers(messages: DataFrame, cleaned: DataFrame) -> DataFrame:
+    """Per conversation the messages kept and removed, and start and end anew (null where none is left)."""
+    span = cleaned.groupBy("conversation_id").agg(F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts"))
+    return clean_counts(messages, cleaned).join(span, "conversation_id", "left")
+
+
+REQUIRED = ("conversation_id", "source", "start_timestamp", "end_timestamp", "messages")
+
+
+def document_violations(documents: DataFrame) -> DataFrame:
+    """``file, rule, value, severity``: documents that are no JSON objects, lack fields or hold no message.
+
+    ``documents``: ``file, content``.  A document that is not parseable or lacks a field is not looked at further;
+    its messages, where it has any, are the matter of ``violations``.
+    """
+    keys = F.json_object_keys("content")
+    missing = F.array_except(F.array(*[F.lit(k) for k in REQUIRED]), F.coalesce(keys, F.array().cast("array<string>")))
+    valid = F.try_parse_json("content").isNotNull() & keys.isNotNull()
+    n = F.coalesce(F.json_array_length(F.get_json_object("content", "$.messages")), F.lit(0))
+    row = lambda rule, value, severity: F.struct(F.lit(rule).alias("rule"), value.alias("value"), F.lit(severity).alias("severity"))
+    found = (
+        F.when(~valid, F.array(row("json", F.lit(None).cast("string"), "error")))
+        .when(F.size(missing) > 0, F.transform(missing, lambda k: row("field", k, "error")))
+        .when(n == 0, F.array(row("no_messages", F.lit(None).cast("string"), "warning")))
+    )
+    return documents.select("file", F.explode(found).alias("v")).select("file", "v.*")
+
+
+def sentences(violations: DataFrame) -> DataFrame:
+    """Violations (of ``violations`` or ``document_violations``) with a readable ``text``."""
+    told = F.create_map(
+        *[F.lit(x) for x in (
+            "json", "the file is no JSON object", "field", "a top-level field is missing", "no_messages", "the conversation holds no message", "message_id", "the message has no id",
+            "timestamp", "the timestamp is missing or not ISO 8601", "order", "the timestamp precedes an earlier message's", "speaker", "the speaker is missing or neither user nor assistant",
+            "text", "the text is missing or blank", "streak", "one speaker goes on without an answer",
+        )]
+    )
+    where = [c for c in ("file", "conversation_id", "message_id", "value") if c in violations.columns]
+    return violations.withColumn("text", F.concat_ws(": ", F.concat_ws(" ", *where), told[F.col("rule")]))
 
 
 def clean_counts(messages: DataFrame, cleaned: DataFrame) -> DataFrame:

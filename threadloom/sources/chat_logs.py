@@ -43,13 +43,11 @@ def parse(logs: DataFrame) -> DataFrame:
     )
 
 
-# Date orders and clocks tried in this order, day before month first.
+# Notations tried in this order, day before month first.
 _PATTERNS = [
-    f"{d} {c}"
-    for d2, clocks in ((("d/M/yyyy", "d/M/yy"), ("H:mm:ss", "H:mm", "h:mm:ss a", "h:mm a")), (("M/d/yyyy", "M/d/yy"), ("H:mm:ss", "h:mm a")))
-    for c in clocks
-    for d in d2
-]
+    "d/M/yyyy H:mm:ss", "d/M/yy H:mm:ss", "d/M/yyyy H:mm", "d/M/yy H:mm", "d/M/yyyy h:mm:ss a", "d/M/yy h:mm:ss a", "d/M/yyyy h:mm a", "d/M/yy h:mm a",
+    "M/d/yyyy H:mm:ss", "M/d/yy H:mm:ss", "M/d/yyyy h:mm a", "M/d/yy h:mm a",
+]
 
 
 def timestamp(date: Column, clock: Column, now: Column) -> Column:

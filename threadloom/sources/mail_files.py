@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 HEADERS = ("Message-ID", "From", "To", "Cc", "Bcc", "Subject", "Date")
-SCHEMA = "raw_name string, source string, headers map<string,string>, body string"
+SCHEMA = "raw_name string, source string, headers map<string,string>, body string, origin string"
 
 
 def body_of(message: Message) -> str:
@@ -32,10 +32,10 @@ def body_of(message: Message) -> str:
     return "".join(map(decoded, parts)).strip()
 
 
-def row_of(message: Message, fallback: str) -> tuple[str, str, dict[str, str], str]:
+def row_of(message: Message, fallback: str, origin: str) -> tuple[str, str, dict[str, str], str, str]:
     headers = {h: str(message.get(h, "") or "") for h in HEADERS}
     name = "".join(c if c.isalnum() else "_" for c in headers["Message-ID"]).strip("_")
-    return name or fallback, "gmail", headers, body_of(message)
+    return name or fallback, "gmail", headers, body_of(message), origin
 
 
 def read_eml(spark: SparkSession, path: str) -> DataFrame:
@@ -46,8 +46,8 @@ def read_eml(spark: SparkSession, path: str) -> DataFrame:
         import pandas as pd
 
         for batch in batches:
-            rows = [row_of(email.message_from_bytes(c), os.path.splitext(os.path.basename(p))[0]) for p, c in zip(batch["path"], batch["content"])]
-            yield pd.DataFrame(rows, columns=["raw_name", "source", "headers", "body"])
+            rows = [row_of(email.message_from_bytes(c), os.path.splitext(os.path.basename(p))[0], p) for p, c in zip(batch["path"], batch["content"])]
+            yield pd.DataFrame(rows, columns=["raw_name", "source", "headers", "body", "origin"])
 
     return files.mapInPandas(parse, SCHEMA)
 
@@ -67,12 +67,12 @@ class _MboxReader(DataSourceReader):
         with open(partition.value, "rb") as f:
             for line in f:
                 if line.startswith(b"From ") and lines:
-                    yield row_of(email.message_from_bytes(b"".join(lines)), f"email_mbox_{n}")
+                    yield row_of(email.message_from_bytes(b"".join(lines)), f"email_mbox_{n}", f"{partition.value}#{n:09d}")
                     n, lines = n + 1, []
                 elif not line.startswith(b"From "):
                     lines.append(line[1:] if line.startswith(b">From ") else line)
         if lines:
-            yield row_of(email.message_from_bytes(b"".join(lines)), f"email_mbox_{n}")
+            yield row_of(email.message_from_bytes(b"".join(lines)), f"email_mbox_{n}", f"{partition.value}#{n:09d}")
 
 
 class MboxDataSource(DataSource):
@@ -95,5 +95,6 @@ def read_mbox(spark: SparkSession, path: str) -> DataFrame:
 
 
 def last_per_name(raw: DataFrame) -> DataFrame:
-    """Of messages stored under one name the last, as overwriting files would leave it (by content, so repeatable)."""
-    return raw.groupBy("raw_name").agg(F.max_by(F.struct("source", "headers", "body"), F.struct(F.col("headers")["Date"], "body")).alias("r")).select("raw_name", "r.*")
+    """Of messages stored under one name the one read last (by file name, then place in the file), as overwriting would leave it."""
+    kept = F.max_by(F.struct("source", "headers", "body", "origin"), F.struct("origin", "body")).alias("r")
+    return raw.groupBy("raw_name").agg(kept).select("raw_name", "r.*")

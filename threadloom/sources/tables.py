@@ -34,14 +34,49 @@ def write_json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def _file_system(spark: SparkSession, path: str):  # noqa: ANN202
+    """(Hadoop file system of a path, function from text to its path object); local and shared stores alike."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    at = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+    return at(path).getFileSystem(conf), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _file_system(spark, path)
+    return fs.exists(at(path))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, at = _file_system(spark, path)
+    fs.delete(at(path), True)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none where it is missing."""
+    fs, at = _file_system(spark, path)
+    return sorted(x.getPath().getName() for x in fs.listStatus(at(path))) if fs.exists(at(path)) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    row = spark.read.text(path, wholetext=True).first()
+    return row[0] if row else ""
+
+
+def write_text(spark: SparkSession, text: str, path: str) -> None:
+    """One small file, replaced as a whole."""
+    fs, at = _file_system(spark, path)
+    out = fs.create(at(path), True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
 def write_replacing(df: DataFrame, path: str) -> None:
     """Replace a table that ``df`` may itself read: a new version beside it, then a swap."""
     fresh, old = f"{path}.new", f"{path}.old"
     df.write.mode("overwrite").parquet(fresh)
-    spark = df.sparkSession
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    at = lambda p: jvm.org.apache.hadoop.fs.Path(p)
-    fs = at(path).getFileSystem(conf)
+    fs, at = _file_system(df.sparkSession, path)
     fs.delete(at(old), True)
     if fs.exists(at(path)):
         fs.rename(at(path), at(old))
@@ -49,6 +84,16 @@ def write_replacing(df: DataFrame, path: str) -> None:
     fs.delete(at(old), True)
 
 
+def save_raw(spark: SparkSession, base: str, source: str, name: str, content: str | dict) -> str:
+    """Keep one raw record as it came: JSON of a dictionary, else the text; an error says which record it was."""
+    path = f"{base}/{source}/{name}"
+    try:
+        write_text(spark, json.dumps(content, ensure_ascii=False, indent=2) if isinstance(content, dict) else content, path)
+    except Exception as e:
+        raise OSError(f"raw record {name} of {source} could not be written to {path}") from e
+    return path
+
+
 def control_list(path: str, default: list[str] | None = None) -> list[str]:
     """A JSON array of strings; the default (or none) where the file is missing or broken."""
     try:
@@ -68,6 +113,17 @@ def update_control_list(path: str, add: list[str] = (), remove: list[str] = ())
     return now
 
 
+def gate_list(spark: SparkSession, path: str) -> list[str] | None:
+    """The ids of a control list on any store; null where there is no such file, none where it cannot be read."""
+    if not exists(spark, path):
+        return None
+    try:
+        x = json.loads(read_text(spark, path))
+    except ValueError:
+        return []
+    return [str(v) for v in x] if isinstance(x, list) else []
+
+
 def ids_frame(spark: SparkSession, ids: list[str]) -> DataFrame:
     return spark.createDataFrame([(i,) for i in ids], "conversation_id string")
 
