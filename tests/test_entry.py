@@ -32,8 +32,9 @@ def test_same_rows_as_sql(spark, db, name):
 
 
 @pytest.mark.parametrize("name", sorted(set(Q) - set(SQL)))
-def test_others_run(spark, name):
-    assert Q[name](spark, D).count() >= 0
+def test_others_give_rows(spark, name):
+    """Their results are checked against brute force in the tests of their operators."""
+    assert Q[name](spark, D).count() > 0
 
 
 def test_entry(spark):

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadloom.functions import textops as T
+from threadloom.session import whole_groups
 
 DEFAULT_LANGUAGES = ("en - English", "hi - Hindi", "ta - Tamil")
 
@@ -220,8 +221,7 @@ def translation_hash(messages: DataFrame) -> DataFrame:
             yield pd.DataFrame([(key, h.hexdigest())], columns=["conversation_id", "text_hash"])
 
     rows = messages.where("conversation_id is not null").select("conversation_id", "ts", "ordinal", "message_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.repartition("conversation_id").sortWithinPartitions("conversation_id", "ts", "ordinal", "message_id")
-    return rows.mapInPandas(run, "conversation_id string, text_hash string")
+    return whole_groups(rows, "conversation_id", "ts", "ordinal", "message_id").mapInPandas(run, "conversation_id string, text_hash string")
 
 
 def regional(messages: DataFrame, languages: DataFrame) -> DataFrame:

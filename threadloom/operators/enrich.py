@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.operators import datasets as D
-from threadloom.session import cut_lineage
+from threadloom.session import cut_lineage, whole_groups
 
 Make = Callable[[], object]
 
@@ -198,7 +198,7 @@ def model_answers(messages: DataFrame, make: Make, most: int = 6, longest: int =
         if batch:
             yield asked(model, batch)
 
-    return rows.repartition("conversation_id").sortWithinPartitions("conversation_id", "ts", "ordinal", "message_id").mapInPandas(run, ANSWER)
+    return whole_groups(rows, "conversation_id", "ts", "ordinal", "message_id").mapInPandas(run, ANSWER)
 
 
 def annotate_incremental(messages: DataFrame, cached: DataFrame, cached_summaries: DataFrame, make: Make | None = None) -> tuple[DataFrame, DataFrame, dict[str, int]]:

@@ -50,6 +50,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def whole_groups(df: DataFrame, key: str, *order: str) -> DataFrame:
+    """``df`` sorted by ``key`` and ``order`` in partitions that hold each key whole, for operators that stream over it.
+
+    The rows are dealt by a hash of the key's hash: a plain ``repartition(key)`` above a join on that key is optimised
+    away, and adaptive execution may then turn the join's shuffle into a local read, which tears the groups apart.
+    """
+    return df.repartition(F.xxhash64(F.col(key))).sortWithinPartitions(key, *order)
+
+
 def small(df: DataFrame, most: int = 100_000) -> DataFrame:
     """``df`` marked for broadcast if it has at most ``most`` rows, counted; else as it is, for a shuffled join."""
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
