@@ -25,7 +25,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.session import cut_lineage
+from threadloom.session import cut_lineage, whole_groups
 
 # Closing formulas, compared in lower case without the comma or stop at their end.
 CLOSINGS = frozenset(
@@ -397,12 +397,12 @@ def newly_written(messages: DataFrame, least: int = 20, block: int = 400, parts:
             yield judge(held[0], None)
 
     if sizes.isEmpty():
-        return mails.repartition("thread").sortWithinPartitions("thread").mapInPandas(many, out)
+        return whole_groups(mails, "thread").mapInPandas(many, out)
     cold = mails.join(sizes.select("thread"), "thread", "left_anti")
     hot = mails.join(sizes, "thread").withColumn("block", F.pmod(F.xxhash64("message_id"), F.ceil(F.col("n") / block)).cast("long"))
     hot = cut_lineage(hot.drop("n"))
     parted = hot.groupBy("thread", "block").cogroup(_hot_sources(hot, footers, least).groupBy("thread", "block")).applyInPandas(judge, out)
-    return cold.repartition("thread").sortWithinPartitions("thread").mapInPandas(many, out).unionByName(parted)
+    return whole_groups(cold, "thread").mapInPandas(many, out).unionByName(parted)
 
 
 def with_rare(footers: frozenset[int], rare: list[int] | None) -> Set[int]:
