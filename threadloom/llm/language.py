@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from threadloom.session import small
+
 LANGS = ("en", "de", "fr", "es", "it", "pt", "hi", "ta")
 #: A run of more letters is no word and says nothing about the language.
 LONGEST_WORD = 60
@@ -245,26 +247,29 @@ def label_codes(annotations: DataFrame) -> DataFrame:
     )
 
 
-def fit_model(labelled: DataFrame, vocabulary: str | None = None, rows_per_language: int = 1500, max_chars: int = 2000) -> PieceModel:
+def fit_model(labelled: DataFrame, labels: DataFrame | None = None, vocabulary: str | None = None, rows_per_language: int = 1500, max_chars: int = 2000) -> PieceModel:
     """Fit on a bounded sample: of each language the ``rows_per_language`` labelled texts with the smallest hash.
 
-    Texts of more than ``max_chars`` are not sampled, so the sample is bounded in bytes, too.  The rows are counted
-    by language (without their texts), then those with a hash below twice the share wanted are read, which no sort or
-    window needs.
+    Texts of more than ``max_chars`` are not sampled, so the sample is bounded in bytes, too.  The labels are counted
+    by language, then those with a hash below twice the share wanted are drawn, which no sort or window needs.
 
-    ``labelled``: ``message_id, text, lang`` with one (possibly wrong) language.  The second fit takes the words
-    as the first one segments them, so wrong and incomplete labels wash out.  Languages without any sample keep
-    the floor probability.
+    ``labelled``: ``message_id, text, lang`` with one (possibly wrong) language, or ``message_id, text`` beside
+    ``labels`` with ``message_id, lang``; then only the texts of drawn labels are moved.  Copies count once.  The second
+    fit takes the words as the first one segments them, so wrong and incomplete labels wash out.  Languages without any
+    sample keep the floor probability.
     """
-    counts = labelled.where(F.col("lang").isin(*LANGS)).groupBy("lang").agg(F.count("*").alias("n")).collect()  # a row for each language
+    labels = labelled.select("message_id", "lang") if labels is None else labels
+    labels = labels.where(F.col("lang").isin(*LANGS) & F.col("message_id").isNotNull())
+    counts = labels.groupBy("lang").agg(F.count("*").alias("n")).collect()  # a row for each language
     bound = F.lit(None).cast("long")
     for lang, n in counts:
         top = 2**63 - 1 if n <= 2 * rows_per_language else -(2**63) + int(2 * rows_per_language / n * 2**64)
         bound = F.when(F.col("lang") == lang, F.lit(top)).otherwise(bound)
-    h = F.xxhash64("message_id")
-    drawn = labelled.where(F.length("text") <= max_chars).select("lang", h.alias("h"), "message_id", "text").where(F.col("h") <= bound).collect()
+    chosen = labels.select("message_id", "lang", F.xxhash64("message_id").alias("h")).where(F.col("h") <= bound).distinct()
+    drawn = labelled.where(F.length("text") <= max_chars).select("message_id", "text").join(small(chosen), "message_id")
+    drawn = {(r["lang"], r["h"], r["message_id"]): r["text"] for r in drawn.select("lang", "h", "message_id", "text").collect()}
     sample, taken = [], Counter()
-    for lang, _, _, text in sorted(drawn):
+    for (lang, _, _), text in sorted(drawn.items()):
         if taken[lang] < rows_per_language:
             taken[lang] += 1
             sample.append((lang, text))

@@ -37,7 +37,7 @@ def _languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = language.label_codes(read_table(spark, sf_dir, "language_annotations"))
     single = labels.where(F.size("codes") == 1).select("message_id", F.col("codes")[0].alias("lang"))
     chats = messages.where(F.col("source") != "gmail").select("message_id", "text")
-    model = language.fit_model(chats.join(single, "message_id").dropDuplicates(["message_id"]))
+    model = language.fit_model(chats, single)
     return language.detect(_judged_texts(spark, sf_dir).join(labels, "message_id", "left"), model)
 
 
