@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -162,3 +163,27 @@ def test_links_are_verified_and_few(spark):
         assert (a, a) in {(x, y) for x, y, _ in links if x == a} and sum(x == a for x, _, _ in links) <= 2 * len(pairs[a]) + 1
     assert any(a != b for a, b, _ in links)
     assert S.similarity_links(nodes.where("false")).count() == 0
+
+
+def test_all_links_are_found(spark):
+    """The links, and the weights gathered over them, against brute force over all pairs, in one block and in several."""
+    r = random.Random(4)
+    words = [f"{a}{b}" for a in "bdfgk" for b in ("an", "el", "or")]
+    texts = [f"the {r.choice(words)} trained hard for the {r.choice(words)} and then {r.choice(words)} {r.choice(['won', 'lost', 'left early'])}" for _ in range(300)] + ["a wholly other sentence"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    nodes = S.sentences(docs).groupBy("sent").agg(F.first("words").alias("words")).select("sent", S._pairs(F.col("words")).alias("pairs")).localCheckpoint()
+    pairs = {x["sent"]: set(x["pairs"]) for x in nodes.collect()}
+    sim = lambda a, b: len(pairs[a] & pairs[b]) / min(len(pairs[a]), len(pairs[b]))
+    want = {(a, b): sim(a, b) for a in pairs for b in pairs if sim(a, b) >= 0.5}
+    assert max(sum(a == x for a, _ in want) for x in pairs) > 2 * 20 + 1  # more than the exemplars of its pairs
+    for size in (32_768, 60):
+        got = [tuple(x) for x in S.similarity_links(nodes, 0.5, size).collect()]
+        assert len(got) == len(want) and all(abs(want[a, b] - x) < 1e-9 for a, b, x in got)
+    blocks, n = S.sentence_blocks(nodes, 60)
+    mass = {a: float(k % 7) for k, a in enumerate(sorted(pairs)) if k % 3}
+    rows = spark.createDataFrame([(a, v, 1.0) for a, v in mass.items()], "sent long, whole double, w0 double")
+    summed = {x["sent"]: (x["whole"], x["w0"]) for x in S.gathered(rows, blocks, S.linked_cells(blocks, n), n).collect()}
+    for a in pairs:
+        assert abs(summed[a][0] - sum(v * want.get((a, b), 0) for b, v in mass.items())) < 1e-6 and abs(summed[a][1] - sum(want.get((a, b), 0) for b in mass)) < 1e-6
+    few = [list(S._alike(*[np.array(y) for y in ([2, 2, 2], [1, 2, 1, 3, 2, 3], [2, 2], [1, 2, 4, 5])], 0.5, False, most)) for most in (1, 100)]
+    assert [x[0] for x in few[0]] == [0, 1, 2] and np.concatenate([x[2] for x in few[0]]).tolist() == few[1][0][2].tolist() == [0, 0, 0]
