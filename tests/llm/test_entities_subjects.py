@@ -113,6 +113,29 @@ def test_matches_and_a_hot_number(spark):
     assert E.match(frame(spark, p, 0).where("false"), frame(spark, c, 1)).count() == 0
 
 
+def test_pairs_with_only_common_agreements_are_compared(spark):
+    """Blocks of any size against brute force over all pairs; then 50 entries of one person, who all have all in common."""
+    r = random.Random(5)
+    given = ["anna", "bernd", "bernt", "carla", "", "a."]
+    person = lambda i: (r.choice(given), "lastly", r.choice(["", "x@y.test", "z@y.test"]), r.choice(["8005550000", ""]), str(i), "", "")
+    rows = [(s, f"{s}-{i}", *person(i)) for s in (0, 1) for i in range(70)]
+    classes = spark.createDataFrame(rows, "side int, cls string, given string, family string, email string, phone string, town string, postcode string, year string")
+    proof = E.evidence(classes).localCheckpoint()
+    all_pairs = {tuple(x)[:2] for x in E.blocked_pairs(proof, 10_000).collect()}
+    found = E.blocked_pairs(proof, 3).localCheckpoint()
+    rare = {tuple(x)[:2] for x in found.collect()}
+    common = lambda keep: [tuple(x)[:2] for x in E.common_pairs(proof, classes, found, keep, 3).collect()]
+    whole, likely = common(0.0), common(0.5)
+    assert len(whole) == len(set(whole)) > 500 and not set(whole) & rare and set(whole) | rare == all_pairs
+    of = {x[1]: x[2:] for x in rows}
+    far = {(a, b) for a, b in whole if E.compare(of[a], of[b])[0] == 0 and E.compare(of[a], of[b])[2] < 2}
+    assert len(far) > 50 and set(likely) == set(whole) - far and len(likely) == len(set(likely))
+    p = [(1, "Linnea Dunhoff", "linnea291@x.test", "576.555.1907", "Brickhaven", None, None)]
+    c = [(10 + i, "Linnea Dunhoff", "linnea291@x.test", "576.555.1907", f"Town{i}", None, None) for i in range(50)]
+    got = {(x["a"], x["b"]) for x in E.match(frame(spark, p, 0), frame(spark, c, 1)).collect()}
+    assert got == {(1, 10 + i) for i in range(50)}
+
+
 @pytest.fixture(scope="module")
 def corpus():
     r = random.Random(0)
