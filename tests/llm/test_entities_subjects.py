@@ -1,4 +1,6 @@
 import random
+import re
+import time
 
 import numpy as np
 import pytest
@@ -210,3 +212,27 @@ def test_all_links_are_found(spark):
         assert abs(summed[a][0] - sum(v * want.get((a, b), 0) for b, v in mass.items())) < 1e-6 and abs(summed[a][1] - sum(want.get((a, b), 0) for b in mass)) < 1e-6
     few = [list(S._alike(*[np.array(y) for y in ([2, 2, 2], [1, 2, 1, 3, 2, 3], [2, 2], [1, 2, 4, 5])], 0.5, False, most)) for most in (1, 100)]
     assert [x[0] for x in few[0]] == [0, 1, 2] and np.concatenate([x[2] for x in few[0]]).tolist() == few[1][0][2].tolist() == [0, 0, 0]
+
+
+def test_links_stay_where_they_are_dealt(spark):
+    """Gathering shuffles the weights but not the links, gives the same sums, and the shuffle files of finished steps go."""
+    r = random.Random(6)
+    nodes = spark.createDataFrame([(k, [r.randrange(12) for _ in range(4)]) for k in range(40)], "sent long, pairs array<int>").selectExpr("sent", "array_distinct(pairs) as pairs")
+    blocks, n = S.sentence_blocks(nodes, 20)
+    cells = S.linked_cells(blocks, n)
+    mass = spark.range(0, 40, 3).selectExpr("id as sent", "id + 0.5d as whole")
+    plain, kept = S.cut_lineage(cells), S.kept_cells(cells, n)
+    loose, fixed = (S.gathered(mass, blocks, x, n) for x in (plain, kept))
+    exchanges = [x._jdf.queryExecution().sparkPlan().toString().count("Exchange") + x._jdf.queryExecution().executedPlan().toString().count("Exchange") for x in (loose, fixed)]
+    assert n == 2 and exchanges[1] == exchanges[0] - 1
+    sums = [dict(map(tuple, x.collect())) for x in (loose, fixed)]
+    assert sums[0].keys() == sums[1].keys() == set(range(40)) and all(abs(sums[0][k] - sums[1][k]) < 1e-9 for k in sums[0])
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: set(re.findall(r"shuffle_\d+_\d+_0\.data", disk.getAllFiles().mkString(" ")))
+    before = shuffled()
+    S.cut_lineage(spark.range(100).repartition(3))
+    left = shuffled() - before
+    end = time.monotonic() + 20
+    while shuffled() & left and time.monotonic() < end:
+        S.settled(spark.range(1))
+    assert left and not shuffled() & left
